@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bookweave.llm import language, quality, token_files
+from bookweave.llm import fingerprints, language, mixing, quality, token_files
 from bookweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,14 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op2_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.op3_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.op4_mixing(table(spark, sf_dir, "documents"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.op7_language(table(spark, sf_dir, "documents"))
 
@@ -28,5 +36,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = N
     return token_files.op10_token_files(spark, table(spark, sf_dir, "documents"), tokenizer)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_quality, op7_language, op10_token_files)}
-ORACLES: dict[str, str] = {}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_quality, op3_fingerprints, op4_mixing, op7_language, op10_token_files)}
+ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE}
