@@ -74,11 +74,11 @@ def spans(space: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, np.flatnonzero(word & after) + 1, np.searchsorted(starts, offsets)
 
 
-def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of data[start:end]; bytes of white space count as nothing."""
+def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, code: np.ndarray = CODE) -> np.ndarray:
+    """64-bit hashes of data[start:end] with a code for each byte."""
     up, down = powers(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(CODE[data] * up[: len(data)], out=total[1:])
+    np.cumsum(code[data] * up[: len(data)], out=total[1:])
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 

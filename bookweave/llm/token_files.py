@@ -14,7 +14,7 @@ gives no sequences. A text of any length passes through in pieces of its own bat
 
 from __future__ import annotations
 
-import re
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -25,39 +25,136 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from bookweave.llm import textkit
 from bookweave.llm.common import shared_dir
 
-#: White space as byte-level BPE splits it, for texts whose only white space is ASCII.
-PIECE = re.compile(r" ?[^\t-\r ]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
-#: Texts with these are encoded in one piece: special tokens and rarer white space.
-WHOLE = re.compile("<\\|endoftext\\|>|[\x1c-\x1f\x85\xa0 ᠎ -‏    -⁯　﻿]")
+#: Codes for all bytes, white space included.
+BYTE_CODE = np.random.Generator(np.random.PCG64(20240502)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: First bytes of rarer white space and the bytes that may follow: U+0085 and U+00A0, U+1680, U+180E, U+2000 to U+206F, U+3000, U+FEFF.
+RARE = {0xC2: {(0x85,), (0xA0,)}, 0xE1: {(0x9A, 0x80), (0xA0, 0x8E)}, 0xE2: {(0x80, x) for x in (*range(0x80, 0x90), 0xA8, 0xA9, 0xAF)} | {(0x81, x) for x in range(0x9F, 0xB0)}, 0xE3: {(0x80, 0x80)}, 0xEF: {(0xBB, 0xBF)}}
+SPECIAL = (0x3C, 0x7C)  # how the special token begins
 MANIFEST = "part int, docs long, tokens long, data string, index string"
 
 
+def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of pieces that byte-level BPE never joins, and each document's first piece.
+
+    A piece is a word with the one blank before it, or white space between words: its last
+    character alone unless that is the word's blank, and the rest. An empty piece closes
+    each document. Holds where all white space is ASCII.
+    """
+    starts, ends, first = textkit.spans(textkit.SPACE[data], offsets)
+    n, docs = len(starts), len(offsets) - 1
+    at = first[1:]  # each document's end follows its words
+    begin, stop = np.insert(starts, at, offsets[1:]), np.insert(ends, at, offsets[1:])
+    closes = np.insert(np.zeros(n, bool), at, True)
+    before = np.empty(n + docs, np.int64)  # where the last word, or the document, ended
+    before[1:] = np.where(closes[:-1], begin[:-1], stop[:-1])
+    before[0] = offsets[0]
+    gap = begin > before
+    blank = np.zeros(n + docs, bool)
+    blank[gap] = data[begin[gap] - 1] == 0x20
+    rest = np.where(closes | ~gap, begin, begin - 1)  # where the gap's last character starts
+    cut = np.where(blank & ~closes, rest, begin)  # where the word's piece starts
+    start = np.column_stack([before, rest, cut]).ravel()
+    end = np.column_stack([rest, cut, stop]).ravel()
+    keep = (end > start) | np.column_stack([closes & False, closes & False, closes]).ravel()
+    count = np.cumsum(np.r_[0, keep])
+    return start[keep], end[keep], count[3 * np.r_[0, at + np.arange(1, docs + 1)]]
+
+
+def whole(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Which documents have special tokens or rarer white space and so must be encoded in one piece."""
+    odd = np.flatnonzero((data >= 0x1C) & (data <= 0x1F)).tolist()
+    pair = np.flatnonzero(data == SPECIAL[0])
+    odd += pair[pair + 1 < len(data)][data[pair[pair + 1 < len(data)] + 1] == SPECIAL[1]].tolist()
+    for lead, tails in RARE.items():
+        for i in np.flatnonzero(data == lead).tolist() if lead != 0xE2 or len(data) else ():
+            if tuple(data[i + 1 : i + 3].tolist()) in tails or tuple(data[i + 1 : i + 2].tolist()) in tails:
+                odd.append(i)
+    flags = np.zeros(len(offsets) - 1, bool)
+    flags[np.searchsorted(offsets, np.array(odd, np.int64), "right") - 1] = True
+    return flags
+
+
 class PieceEncoder:
-    """Ids of whole texts by a tokenizers file.
+    """Ids of whole texts by a tokenizers file, each with end_id after it.
 
-    The pre-tokenizer never joins text across the pieces matched by PIECE, so each
-    distinct piece is encoded once and remembered, at most ``limit`` of them.
+    The pre-tokenizer never joins text across pieces, so each distinct piece is encoded once and
+    its ids remembered under its 64-bit hash, at most ``limit`` of them.
     """
 
-    def __init__(self, path: str, limit: int = 300_000, pieces: bool = True):
+    def __init__(self, path: str, end_id: int = 0, limit: int = 2_000_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit, self.pieces, self.known = Tokenizer.from_file(path), limit, pieces, {}
+        self.tokenizer, self.end_id, self.limit = Tokenizer.from_file(path), end_id, limit
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [PIECE.findall(t) if self.pieces and not WHOLE.search(t) else None for t in texts]
-        if len(self.known) > self.limit:
-            self.known.clear()
-        new = list(set().union(*(p for p in split if p)) - self.known.keys())
-        self.known.update(zip(new, self._encode(new), strict=True))
-        get = self.known.__getitem__
-        return [b"".join(map(get, p)) if p is not None else self._encode([t])[0] for t, p in zip(texts, split, strict=True)]
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys, self.at, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat, self.used = np.zeros(1 << 16, self.dtype), 0
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
+        """keys: in order."""
+        ids = self._encode(texts)
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        new = np.fromiter(itertools.chain.from_iterable(ids), self.dtype, int(size.sum()))
+        if self.used + len(new) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(new)), self.dtype)])
+        self.flat[self.used : self.used + len(new)] = new
+        where = np.searchsorted(self.keys, keys)
+        self.at = np.insert(self.at, where, self.used + np.cumsum(size) - size)
+        self.size, self.keys = np.insert(self.size, where, size), np.insert(self.keys, where, keys)
+        self.used += len(new)
+
+    def run(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all documents in order, number of ids of each)."""
+        start, end, first = pieces(data, offsets)
+        keys = textkit.hashes(data, start, end, BYTE_CODE)
+        odd = np.flatnonzero(whole(data, offsets))
+        for d in odd:  # their pieces count as empty ones
+            keys[first[d] : first[d + 1]] = 0
+        closing = first[1:] - 1
+        keys[closing] = 0
+        if len(self.keys) > self.limit:
+            self.forget()
+        some, example, place = np.unique(keys, return_index=True, return_inverse=True)
+        known = np.searchsorted(self.keys, some)
+        new = np.flatnonzero((some != (self.keys[np.minimum(known, len(self.keys) - 1)] if len(self.keys) else ~some)) & (some != 0))
+        if len(new):
+            raw = data.tobytes()
+            self._learn(some[new], [raw[a:b].decode() for a, b in zip(start[example[new]].tolist(), end[example[new]].tolist(), strict=True)])
+        known = np.minimum(np.searchsorted(self.keys, some), max(len(self.keys) - 1, 0))
+        at, size = (self.at[known], self.size[known]) if len(self.keys) else (np.zeros(len(some), np.int64), np.zeros(len(some), np.int64))
+        size = np.where(some == 0, 0, size)
+        sizes, ats = size[place], at[place]
+        sizes[closing] = 1
+        count = np.r_[0, np.cumsum(sizes)]
+        ids = self.flat[np.where(np.repeat(np.isin(np.arange(len(sizes)), closing), sizes), 0, np.repeat(ats - count[:-1], sizes) + np.arange(count[-1]))]
+        ids[count[first[1:]] - 1] = self.end_id
+        counts = np.diff(count[first])
+        if len(odd):
+            parts = np.split(ids, count[first[1:-1]])
+            for d, text in zip(odd, self._encode([data[offsets[d] : offsets[d + 1]].tobytes().decode() for d in odd]), strict=True):
+                parts[d] = np.array([*text, self.end_id], self.dtype)
+                counts[d] = len(parts[d])
+            ids = np.concatenate(parts)
+        return ids, counts
+
+
+_encoders: dict[tuple[str, int], PieceEncoder] = {}
+
+
+def encoder_of(path: str, end_id: int) -> PieceEncoder:
+    """One for each worker process, whose memory of pieces serves its later tasks too."""
+    if (path, end_id) not in _encoders:
+        _encoders.clear()
+        _encoders[path, end_id] = PieceEncoder(path, end_id)
+    return _encoders[path, end_id]
 
 
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
@@ -84,55 +181,39 @@ def _schemas(length: int, dtype: np.dtype) -> tuple[pa.Schema, pa.Schema]:
     return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(dtype), length)), ("mask", pa.list_(pa.bool_(), length))]), pa.schema([("doc_id", pa.int64()), ("offset", pa.int64()), ("n_tokens", pa.int64())])
 
 
-def _sequences(raw: bytes, used: int, length: int, schema: pa.Schema, dtype: np.dtype) -> pa.RecordBatch:
-    """raw: whole sequences; used: ids before the padding."""
-    ids = np.frombuffer(raw, dtype)
+def _sequences(ids: np.ndarray, used: int, length: int, schema: pa.Schema) -> pa.RecordBatch:
+    """ids: whole sequences; used: ids before the padding."""
     mask = pa.array(np.arange(len(ids)) < used)
     return pa.record_batch([pa.FixedSizeListArray.from_arrays(pa.array(ids), length), pa.FixedSizeListArray.from_arrays(mask, length)], schema=schema)
 
 
-def write(docs: DataFrame, out: str, tokenizer: str, length: int = 2048, rows: int = 64, end_id: int = 0, run: int = 1 << 20) -> DataFrame:
+def write(docs: DataFrame, out: str, tokenizer: str, length: int = 2048, rows: int = 64, end_id: int = 0, run: int = 1 << 22) -> DataFrame:
     """Writes docs (doc_id, text) below out; returns and keeps the manifest, one row for each file with the ids before it (start)."""
 
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         part, attempt = context.partitionId(), context.taskAttemptId()
-        encoder = PieceEncoder(tokenizer)
-        size, seq, index = encoder.dtype.itemsize, *_schemas(length, encoder.dtype)
-        full, end = length * rows * size, np.array([end_id], encoder.dtype).tobytes()
+        encoder = encoder_of(tokenizer, end_id)
+        seq, index = _schemas(length, encoder.dtype)
+        full = length * rows
         data = docs_file = None
-        held, total, n_docs = bytearray(), 0, 0
+        held, total, n_docs = np.zeros(0, encoder.dtype), 0, 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            if data is None:
+            if batch.num_rows and data is None:
                 data = _Publish(f"{out}/ids-{part:06d}.arrows", seq, attempt)
                 docs_file = _Publish(f"{out}/docs-{part:06d}.arrows", index, attempt)
-            ids, texts = batch.column(0), batch.column(1)
-            at = 0
-            while at < len(ids):
-                some, weight = [], 0
-                while at + len(some) < len(ids) and weight < run:
-                    some.append(texts[at + len(some)].as_py() or "")
-                    weight += len(some[-1])
-                offsets, counts = [], []
-                for raw in encoder(some):
-                    held += raw
-                    held += end
-                    offsets.append(total)
-                    counts.append(len(raw) // size + 1)
-                    total += counts[-1]
-                    while len(held) >= full:
-                        data.writer.write_batch(_sequences(bytes(held[:full]), length * rows, length, seq, encoder.dtype))
-                        del held[:full]
-                docs_file.writer.write_batch(pa.record_batch([ids.slice(at, len(some)).cast(pa.int64()), pa.array(offsets, pa.int64()), pa.array(counts, pa.int64())], schema=index))
-                at += len(some)
-                n_docs += len(some)
+            for first, end, raw, offsets in textkit.runs(batch.column(1), run):
+                ids, counts = encoder.run(raw, offsets)
+                docs_file.writer.write_batch(pa.record_batch([batch.column(0).slice(first, end - first).cast(pa.int64()), pa.array(total + np.cumsum(counts) - counts), pa.array(counts)], schema=index))
+                held, total, n_docs = np.concatenate([held, ids]), total + len(ids), n_docs + end - first
+                whole_rows = len(held) // full * full
+                for at in range(0, whole_rows, full):
+                    data.writer.write_batch(_sequences(held[at : at + full], full, length, seq))
+                held = held[whole_rows:]
         if data is not None:
-            if held:
-                used = len(held) // size
-                held += bytes(-len(held) % (length * size))
-                data.writer.write_batch(_sequences(bytes(held), used, length, seq, encoder.dtype))
+            if len(held):
+                padded = np.concatenate([held, np.zeros(-len(held) % length, encoder.dtype)])
+                data.writer.write_batch(_sequences(padded, len(held), length, seq))
             data.close()
             docs_file.close()
             yield pa.RecordBatch.from_pylist([{"part": part, "docs": n_docs, "tokens": total, "data": f"{out}/ids-{part:06d}.arrows", "index": f"{out}/docs-{part:06d}.arrows"}], pa.schema([("part", pa.int32()), ("docs", pa.int64()), ("tokens", pa.int64()), ("data", pa.string()), ("index", pa.string())]))

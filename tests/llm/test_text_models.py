@@ -52,10 +52,13 @@ def test_sequence_is_mapped_without_copy(spark, tmp_path):
     assert len(ids) == len(mask) == 16 and not ids.flags.owndata
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.lists(st.text(alphabet="ab .,'\n\t é!1", max_size=40), max_size=5))
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet="ab .,'\n\t é!1<|\u2003\u2014\xa0\x1d", max_size=40), max_size=5))
 def test_pieces_equal_whole_texts(texts):
-    assert token_files.PieceEncoder(PATH)(texts) == token_files.PieceEncoder(PATH, pieces=False)(texts)
+    coder, tok = token_files.encoder_of(PATH, 0), tokenizers.Tokenizer.from_file(PATH)
+    texts = [*texts, "".join(texts) + "<|endoftext|> " + "".join(texts)]
+    got = [i for _, _, data, offsets in textkit.runs(pa.array(texts, pa.string()), 30) for i in coder.run(data, offsets)[0].tolist()]
+    assert got == [i for t in texts for i in [*tok.encode(t, add_special_tokens=False).ids, 0]]
 
 
 @settings(max_examples=60, deadline=None)
