@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bookweave.llm import fingerprints, language, mixing, quality, token_files
+from bookweave.llm import decontamination, fingerprints, jaccard, language, mixing, quality, sharding, token_files
 from bookweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,10 +24,22 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op4_mixing(table(spark, sf_dir, "documents"))
 
 
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.op5_sharding(table(spark, sf_dir, "documents"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.op6_decontamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.op7_language(table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.op8_jaccard(table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     if tokenizer is None:
         import public_tokenizers
@@ -36,5 +48,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = N
     return token_files.op10_token_files(spark, table(spark, sf_dir, "documents"), tokenizer)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_quality, op3_fingerprints, op4_mixing, op7_language, op10_token_files)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_quality, op3_fingerprints, op4_mixing, op5_sharding, op6_decontamination, op7_language, op8_jaccard, op10_token_files)}
 ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE}
