@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bookweave.llm import decontamination, fingerprints, jaccard, language, mixing, quality, sharding, token_files
+from bookweave.llm import decontamination, fingerprints, jaccard, language, licenses, mixing, quality, sharding, surrogates, token_files
 from bookweave.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surrogates.op1_surrogates(table(spark, sf_dir, "documents"))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op2_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -40,6 +44,10 @@ def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.op8_jaccard(table(spark, sf_dir, "documents"))
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.op9_licenses(table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     if tokenizer is None:
         import public_tokenizers
@@ -48,5 +56,5 @@ def op10_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = N
     return token_files.op10_token_files(spark, table(spark, sf_dir, "documents"), tokenizer)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op2_quality, op3_fingerprints, op4_mixing, op5_sharding, op6_decontamination, op7_language, op8_jaccard, op10_token_files)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_surrogates, op2_quality, op3_fingerprints, op4_mixing, op5_sharding, op6_decontamination, op7_language, op8_jaccard, op9_licenses, op10_token_files)}
 ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE}
