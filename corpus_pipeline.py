@@ -1,7 +1,14 @@
 """The corpus pipeline: quality, near-duplicates, decontamination, mixing, shards.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet
-and read again as the next stage's docs.
+and read again as the next stage's docs. All but the last return the columns of documents:
+
+1. ``quality`` drops what the classifier, fitted on the labels that are not held out, rejects.
+2. ``near_duplicates`` keeps the document of least doc_id of each group that links (five-word shingles,
+   Jaccard 0.8) connect.
+3. ``decontamination`` drops documents that hold half of a benchmark item or more.
+4. ``mixing`` repeats or leaves out documents so that sources meet their target shares.
+5. ``sharding`` adds ``shard``, from 0 to 7, of near equal bytes; equal texts share one.
 """
 
 from __future__ import annotations
@@ -10,7 +17,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bookweave.llm import quality
+from bookweave.llm import decontamination, jaccard, mixing, quality, sharding
 from bookweave.llm.common import settle, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -20,9 +27,31 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
-STAGES: list[tuple[str, Stage]] = [("quality", keep_good)]
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return jaccard.drop_near_duplicates(docs)
 
-ORACLE_SQL: str | None = None  # the classifier has no SQL form
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontamination.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", keep_good),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+    ("sharding", shard),
+]
+
+ORACLE_SQL: str | None = None  # the classifier has no SQL form; tests/llm hold the rows against brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
