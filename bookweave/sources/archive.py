@@ -43,7 +43,7 @@ def entries(path: str) -> Iterator[Iterator[bytes]]:
     fs, inner = filesystem(path)
     if fs.get_file_info(inner).size == 0:
         raise tarfile.ReadError("archive is empty")
-    with fs.open_input_stream(inner) as raw, gzip.GzipFile(fileobj=raw) as packed:
+    with fs.open_input_stream(inner, compression=None) as raw, gzip.GzipFile(fileobj=raw) as packed:
         with tarfile.open(fileobj=packed, mode="r|") as tar:
             found = False
             for entry in tar:

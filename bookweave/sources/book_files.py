@@ -28,7 +28,7 @@ def publish(path: str, data: bytes) -> None:
     fs, inner = filesystem(path)
     fs.create_dir(posixpath.dirname(inner), recursive=True)
     try:
-        with fs.open_output_stream(inner + ".tmp") as f:
+        with fs.open_output_stream(inner + ".tmp", compression=None) as f:
             f.write(data)
         fs.move(inner + ".tmp", inner)
     finally:
@@ -44,7 +44,7 @@ def parquet_bytes(table: pa.Table, rows: int = 10_000) -> bytes:
 
 def read_bytes(path: str) -> bytes:
     fs, inner = filesystem(path)
-    with fs.open_input_stream(inner) as f:
+    with fs.open_input_stream(inner, compression=None) as f:
         return f.read()
 
 
