@@ -58,28 +58,34 @@ def triggers(kept: DataFrame, sample_ms: int = SAMPLE_MS) -> DataFrame:
     return found.select(*DAY, "epoch", "seq", F.expr(f"pts DIV {sample_ms} + 1").alias("first_grid"), F.expr(f"ets DIV {sample_ms}").alias("last_grid"))
 
 
-def top_levels(at: DataFrame, live: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """The best levels of each side after each trigger's record, ranked from 0."""
-    live = live.withColumnRenamed("seq", "from_seq")
-    held = at.join(live, [*DAY, "epoch"]).where("from_seq <= seq AND (next_seq IS NULL OR seq < next_seq)")
+def ranked(at: DataFrame, live: DataFrame, depth: int, how: str) -> DataFrame:
+    """The best levels of each side after each trigger's record, ranked from 0; how: inner, or left to keep triggers of empty books."""
+    live = live.select(*(F.col(c).alias(f"_{c}") for c in (*DAY, "epoch", "seq", "next_seq")), "side", "px_key", "qty")
+    same = [F.col(c) == F.col(f"_{c}") for c in (*DAY, "epoch")]
+    open_ = (F.col("_seq") <= F.col("seq")) & (F.col("_next_seq").isNull() | (F.col("seq") < F.col("_next_seq")))
+    held = at.join(live, [*same, open_], how)
     best_first = Window.partitionBy(*DAY, "seq", "side").orderBy(F.when(F.col("side") == "bid", -F.col("px_key")).otherwise(F.col("px_key")))
-    ranked = held.withColumn("level", F.row_number().over(best_first)).where(F.col("level") <= depth)
-    return ranked.select(*DAY, "seq", "side", (F.col("level") - 1).alias("level"), "px_key", "qty")
+    found = held.withColumn("level", F.row_number().over(best_first)).where(F.col("level") <= depth)
+    return found.select(*at.columns, "side", (F.col("level") - 1).alias("level"), "px_key", "qty")
+
+
+def top_levels(at: DataFrame, live: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """A row for each of the best levels after each trigger's record."""
+    return ranked(at, live, depth, "inner").select(*DAY, "seq", "side", "level", "px_key", "qty")
 
 
 def book_columns(depth: int = DEPTH) -> list[str]:
     return [f"{side}_{kind}_{i}" for side in SIDES for i in range(depth) for kind in ("px", "sz")]
 
 
-def books(at: DataFrame, top: DataFrame, depth: int = DEPTH) -> DataFrame:
+def books(at: DataFrame, live: DataFrame, depth: int = DEPTH) -> DataFrame:
     """A wide row for each trigger; levels that the book lacks are null."""
     cells = []
     for name in book_columns(depth):
         side, kind, i = name.split("_")
         here = (F.col("side") == side) & (F.col("level") == int(i))
         cells.append(F.max(F.when(here, price(F.col("px_key")) if kind == "px" else F.col("qty"))).alias(name))
-    wide = top.groupBy(*DAY, "seq").agg(*cells)
-    return at.drop("epoch").join(wide, [*DAY, "seq"], "left")
+    return ranked(at, live, depth, "left").groupBy(*DAY, "seq", "first_grid", "last_grid").agg(*cells)
 
 
 def spread(rows: DataFrame, sample_ms: int = SAMPLE_MS) -> DataFrame:
@@ -98,8 +104,14 @@ def regressions(kept: DataFrame) -> DataFrame:
     return found.select(*DAY, failed.alias("failed"), *(F.when(failed, F.col(f"at.{c}")).alias(n) for c, n in (("seq", "bad_seq"), ("ets", "bad_ts"), ("pts", "current_ts"))))
 
 
+def flagged_days(kept: DataFrame) -> DataFrame:
+    """kept without the days that fail, in the one pass that its windows make: for days that fit a task's buffer."""
+    older = F.max(F.coalesce(F.col("ets") < F.col("pts"), F.lit(False))).over(Window.partitionBy(*DAY))
+    return kept.withColumn("_older", older).where("NOT _older").drop("_older")
+
+
 def good_days(kept: DataFrame) -> DataFrame:
-    """kept without the days that fail."""
+    """kept without the days that fail, by a pass over the times alone: for days of any length."""
     bad = kept.where("ets < pts").select(*DAY).distinct()
     return kept.join(bad, DAY, "left_anti")
 
@@ -111,6 +123,5 @@ def samples(records: DataFrame, sample_ms: int = SAMPLE_MS, depth: int = DEPTH)
 
 def sampled_books(records: DataFrame, sample_ms: int = SAMPLE_MS, depth: int = DEPTH) -> DataFrame:
     """The book after each record that passes grid points."""
-    kept = good_days(keep(records))
-    at = triggers(kept, sample_ms)
-    return books(at, top_levels(at, intervals(levels(kept)), depth), depth)
+    kept = flagged_days(keep(records))
+    return books(triggers(kept, sample_ms), intervals(levels(kept)), depth)

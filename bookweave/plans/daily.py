@@ -23,6 +23,7 @@ from bookweave.functions.scalars import DEPTH, SAMPLE_MS
 from bookweave.functions.strict_json import parsed
 from bookweave.operators import day_checks, fused, ledger, replay, tasks
 from bookweave.operators.ledger import TASK
+from bookweave.session import settle
 from bookweave.sources import archive, book_files, ledger_files
 
 #: (symbol, day, path) -> True if the archive is there now, False if none is published; raises OSError to be tried again.
@@ -90,9 +91,12 @@ def fetched(todo: DataFrame, config: Config, fetch: Fetch) -> DataFrame:
 
 def processed(spark: SparkSession, todo: DataFrame, config: Config) -> DataFrame:
     """Replays the archives of todo (TASK) that exist and writes their books: TASK, kind, reason, rows."""
-    lines = archive.read_archives(spark, config.raw_root).join(F.broadcast(todo.select(*TASK)), TASK)
-    records = parsed(lines.where("error IS NULL").drop("error"))
-    broken = lines.where("error IS NOT NULL").groupBy(*TASK).agg(F.min("error").alias("why"))
+    paths = [book_files.day_path(config.raw_root, r.symbol, r.trade_date, archive.SUFFIX) for r in todo.select(*TASK).collect()]  # a wave of tasks
+    lines = archive.read_archives(spark, *paths)
+    lines = lines.withColumn("line", F.coalesce("line", F.lit(" ")))  # a broken archive's row is read like any other
+    records = settle(parsed(lines), "wave")  # archives are read and parsed once
+    broken = records.where("error IS NOT NULL").groupBy(*TASK).agg(F.min("error").alias("why"))
+    records = records.where("error IS NULL").drop("error")
     checks = day_checks.bad_lines(records)
     kept = replay.keep(records.where("ok"))
     older = replay.regressions(kept)
@@ -100,7 +104,7 @@ def processed(spark: SparkSession, todo: DataFrame, config: Config) -> DataFrame
     share = F.format_string("bad JSON lines %d/%d (%.3f%%) exceeds %.3f%% threshold", "bad", "total", F.col("bad_share") * 100, F.lit(day_checks.MAX_BAD_SHARE * 100))
     reason = F.when(F.col("why").isNotNull(), F.col("why")).when(F.col("total").isNull(), "raw archive missing or empty").when(F.col("older"), F.format_string("timestamp regression: record ts %d is older than current %d", "bad_ts", "current_ts"))
     reason = reason.when(F.col("no_snapshot"), "no snapshot found in daily file").when(F.col("failed"), share)
-    state = state.select(*TASK, reason.alias("reason")).cache()
+    state = settle(state.select(*TASK, reason.alias("reason")), "wave")
     good = state.where("reason IS NULL").select(*TASK)
     books = fused.samples(records.where("ok").join(F.broadcast(good), TASK), config.sample_ms, config.depth)
     written = book_files.write_days(books, config.parquet_root).collect()  # a row for each day of the wave

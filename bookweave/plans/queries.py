@@ -89,7 +89,7 @@ def lob_topk_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lob_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replay.spread(replay.triggers(replay.good_days(replay.keep(event_records(spark, sf_dir))), MINUTE).drop("epoch"), MINUTE)
+    return replay.spread(replay.triggers(replay.flagged_days(replay.keep(event_records(spark, sf_dir))), MINUTE).drop("epoch"), MINUTE)
 
 
 def lob_day_rowcount(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
+import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parent.parent)
+_local: dict[str, str] = {}
 
 
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -31,3 +35,20 @@ def ship(spark: SparkSession) -> SparkSession:
     if ROOT not in paths:
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, *paths]))
     return spark
+
+
+def shared_dir(spark: SparkSession, kind: str = "part") -> str:
+    """A new folder name below ``spark.checkpoint.dir``; a local one only where that is unset and Spark is local."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or _local.get(spark.sparkContext.applicationId)
+    if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = _local[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="bookweave-")
+    return f"{root.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, kind: str = "part") -> DataFrame:
+    """Writes df to the shared folder and reads it back: lineage ends at files that outlive executors."""
+    path = shared_dir(df.sparkSession, kind)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -79,11 +79,11 @@ class Archive(InputPartition):
 
 
 class ArchiveReader(DataSourceReader):
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, paths: list[str]):
+        self.paths = paths
 
     def partitions(self) -> list[Archive]:
-        return [Archive(p) for p in find(self.path, SUFFIX)]
+        return [Archive(p) for path in self.paths for p in find(path, SUFFIX)]
 
     def read(self, partition: Archive) -> Iterator[tuple]:
         symbol, date = day_of(partition.path)
@@ -104,7 +104,7 @@ class ArchiveReader(DataSourceReader):
 
 
 class ArchiveSource(DataSource):
-    """spark.read.format("book_archive").load(path)"""
+    """spark.read.format("book_archive").load(path): an archive, a folder of them, or several of either, one a line"""
 
     @classmethod
     def name(cls) -> str:
@@ -114,10 +114,11 @@ class ArchiveSource(DataSource):
         return "symbol string, trade_date string, entry int, seq long, line string, error string"
 
     def reader(self, schema) -> ArchiveReader:
-        return ArchiveReader(self.options["path"])
+        return ArchiveReader(self.options["path"].split("\n"))
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
+def read_archives(spark: SparkSession, *paths: str) -> DataFrame:
+    """The lines of all archives at or below paths."""
     spark.dataSource.register(ArchiveSource)
-    lines = spark.read.format("book_archive").load(path)
+    lines = spark.read.format("book_archive").load("\n".join(paths))
     return lines.withColumn("trade_date", lines["trade_date"].cast("date"))

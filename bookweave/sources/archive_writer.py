@@ -4,16 +4,14 @@ from __future__ import annotations
 
 import gzip
 import io
-import re
 import tarfile
-import tempfile
-import uuid
 from collections.abc import Iterable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 from bookweave.operators.replay import DAY
+from bookweave.session import shared_dir
 from bookweave.sources.archive import SUFFIX
 from bookweave.sources.book_files import day_path, publish
 
@@ -32,18 +30,9 @@ def archive(entries: Iterable[tuple[str, bytes | None]]) -> bytes:
     return gzip.compress(out.getvalue(), mtime=0)
 
 
-def shared_root(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = tempfile.mkdtemp(prefix="bookweave-")
-    return f"{root.rstrip('/')}/archives-{uuid.uuid4().hex}"
-
-
 def write(lines: DataFrame, root: str | None = None) -> str:
     """lines: symbol, trade_date, seq, line. One archive of one entry for each day below root; returns root."""
-    root = root or shared_root(lines.sparkSession)
+    root = root or shared_dir(lines.sparkSession, "archives")
 
     def day(table: pa.Table) -> pa.Table:
         table = table.sort_by("seq")
