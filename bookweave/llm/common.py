@@ -17,8 +17,19 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _local: dict[str, str] = {}
 
 
+#: Spark's own size of the batches that go to Python workers, and the one used here: whole texts are large rows.
+ARROW_BYTES, ARROW_DEFAULT, ARROW_SMALL = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", str(4 << 20)
+
+
+def tuned(spark: SparkSession) -> SparkSession:
+    """Keeps Arrow batches small, unless the session has a size of its own; tasks then hold a few MB of text, or one longer document."""
+    if spark.conf.get(ARROW_BYTES) == ARROW_DEFAULT:
+        spark.conf.set(ARROW_BYTES, ARROW_SMALL)
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tuned(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,11 +44,20 @@ def shared_dir(spark: SparkSession) -> str:
 
 def settle(df: DataFrame) -> DataFrame:
     """Writes df to the shared folder and reads it back: lineage ends at files that outlive executors."""
-    path = shared_dir(df.sparkSession)
+    path = shared_dir(tuned(df.sparkSession))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def boxed(docs: DataFrame, *more: Column | str) -> DataFrame:
+    """docs as one column _row, with more beside it; whatever names docs has, an operator's own can't clash."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), *more)
+
+
+def unboxed(rows: DataFrame) -> DataFrame:
+    return rows.select("_row.*")
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 

@@ -142,7 +142,7 @@ def train(x: np.ndarray, y: np.ndarray, langs: list[str], rounds: int = 150, dec
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """Adds lang_pred, score and ambiguous to docs."""
+    """Adds lang_pred, score and ambiguous to docs, in place of columns of these names."""
     langs = np.array([*model.langs, "und"], object)
 
     @F.arrow_udf("struct<lang:string,score:double,ambiguous:boolean>")
@@ -153,7 +153,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)) & F.lit(bool(model.langs))
     out = docs.withColumn("_l", identified(F.col("text").cast("string"))).withColumn("_some", lettered)
     return out.select(
-        *docs.columns,
+        *(docs[c] for c in docs.columns if c not in ("lang_pred", "score", "ambiguous")),
         F.when(F.col("_some"), F.col("_l.lang")).otherwise("und").alias("lang_pred"),
         F.when(F.col("_some"), F.col("_l.score")).otherwise(0.0).alias("score"),
         (F.col("_some") & F.col("_l.ambiguous")).alias("ambiguous"),

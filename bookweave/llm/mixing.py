@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bookweave.llm.common import settle, word_count
+from bookweave.llm.common import boxed, settle, unboxed, word_count
 
 WEIGHTS, COPIES, ROWS = (5, 2, 1), 3, 512
 SEED = "mix-1:"
@@ -127,10 +127,11 @@ def mix(docs: DataFrame) -> DataFrame:
     last = place(F.col("doc_id"), F.col("size"))
     full = taken.groupBy("source").agg(F.min("copies").alias("_full"), F.max(F.struct("copies", last.alias("place"))).alias("_top"), F.max("source_size").alias("_n"))
     cuts = settle(full.withColumnRenamed("source", "_source"))
-    more = (F.col("_top.copies") > F.col("_full")) & (place(F.col("doc_id"), word_count(F.col("text"))) <= F.col("_top.place"))
+    more = (F.col("_top.copies") > F.col("_full")) & (F.col("_place") <= F.col("_top.place"))
     copies = F.when(F.col("_n") == 0, 1).otherwise(F.col("_full") + more.cast("int"))
-    found = docs.join(cuts, docs["source"].eqNullSafe(cuts["_source"])).withColumn("_copies", copies)
-    return found.where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)
+    all_ = boxed(docs, "source", place(F.col("doc_id"), word_count(F.col("text"))).alias("_place"))
+    found = all_.join(cuts, F.col("source").eqNullSafe(F.col("_source"))).withColumn("_copies", copies)
+    return unboxed(found.where("_copies > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("_copies")))))
 
 
 #: The same mix by plain windows over whole tables.

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bookweave.llm import textkit
-from bookweave.llm.common import held_out, settle
+from bookweave.llm.common import boxed, held_out, settle, unboxed
 
 THRESHOLD = 0.7
 KINDS = 13
@@ -183,4 +183,4 @@ def op2_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier accepts, with their columns."""
     model = fit(with_statistics(docs.select("doc_id", "text")), labels)
-    return score(with_statistics(docs), model).where("predicted = 1").select(docs.columns)
+    return unboxed(score(with_statistics(boxed(docs, "text")), model).where("predicted = 1"))

@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bookweave.llm.common import settle
+from bookweave.llm.common import boxed, settle
 
 CELLS, SMALL = 1024, 100_000
 NODES = "node long, dim int, low double, high double, ulow long, uhigh long, spent double, goal double"
@@ -139,5 +139,5 @@ def shard_documents(docs: DataFrame, target_bytes: int | None = None, shards: in
     if target_bytes:
         shards = max(1, math.ceil((rows.agg(F.sum("weight")).first()[0] or 0) / target_bytes))
     homes = settle(grow(rows, shards)).withColumnRenamed("key", "_key").withColumnRenamed("shard", "_shard")
-    found = docs.withColumn("_own", text_key(F.col("text"))).join(homes, F.col("_own") == F.col("_key"))
-    return found.select(*(docs[c] for c in docs.columns if c != "shard"), F.col("_shard").alias("shard"))
+    found = boxed(docs.drop("shard"), text_key(F.col("text")).alias("_own")).join(homes, F.col("_own") == F.col("_key"))
+    return found.select("_row.*", F.col("_shard").alias("shard"))

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bookweave.llm.common import settle
+from bookweave.llm.common import boxed, settle
 
 # Titles and common given names by gender and script.
 TITLES = "Mrs Mr Miss Ms Mx Dr Prof Herr Frau Monsieur Madame Mme Señora Señor Sra Sr".split()
@@ -189,7 +189,6 @@ def settle_collisions(entities: DataFrame, key: str, rounds: int = 20, strict: i
 
 def replace_entities(docs: DataFrame, key: str = "example-key") -> DataFrame:
     """docs with surrogates in text, and n_entities."""
-    names = docs.columns
     text = F.col("text")
     may = F.coalesce(text.rlike(HINT), F.lit(False))
     found = docs.where(may).select("text").withColumn("_raw", F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0))).where(F.size("_raw") > 0)
@@ -201,12 +200,12 @@ def replace_entities(docs: DataFrame, key: str = "example-key") -> DataFrame:
     done = done.select("_key", "i", "j", written(F.col("type"), F.col("raw"), F.col("value")).alias("new"))
     done = done.groupBy("_key", "i").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("j", "new"))), lambda x: x["new"]), " ").alias("new"))
     done = done.groupBy("_key").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "new"))), lambda x: x["new"]).alias("_new")).withColumnRenamed("_key", "_met")
-    joined = docs.where(may).withColumn("_key", F.md5("text")).join(done, F.col("_key") == F.col("_met"), "left")
+    joined = boxed(docs.where(may), "text", F.md5("text").alias("_key")).join(done, F.col("_key") == F.col("_met"), "left")
     between = F.split(text, ENTITY, -1)
     woven = F.array_join(F.flatten(F.zip_with(between, F.concat("_new", F.array(F.lit(""))), lambda a, b: F.array(a, b))), "")
     new = F.when(F.col("_new").isNull(), text).otherwise(woven)
-    kept = [c for c in names if c != "n_entities"]
-    changed = joined.select(*(new.alias(c) if c == "text" else joined[c] for c in kept), F.coalesce(F.size("_new"), F.lit(0)).alias("n_entities"))
+    kept = [c for c in docs.columns if c != "n_entities"]
+    changed = joined.select(*(new.alias(c) if c == "text" else F.col(f"_row.`{c}`") for c in kept), F.coalesce(F.size("_new"), F.lit(0)).alias("n_entities"))
     return changed.union(docs.where(~may).select(*kept, F.lit(0).alias("n_entities")))
 
 
