@@ -27,6 +27,8 @@ from bookweave.llm.common import settle, word_count
 from bookweave.llm.decontamination import BREAK, tokens
 
 THRESHOLD, BEFORE, AFTER = 0.5, 16, 32
+#: Directories up to which what they inherit travels to all tasks.
+CARRIED = 200_000
 # Usual notices of common licences.
 TEMPLATES = [
     ("MIT", "Released under the MIT License."),
@@ -141,6 +143,9 @@ def inherit(files: DataFrame) -> DataFrame:
     dirs = files.where("_dir IS NOT NULL").select("_dir").distinct()
     up = dirs.select("_dir", F.explode(F.array_distinct(above)).alias("_home"))
     nearest = up.join(homes, "_home").groupBy(F.col("_dir").alias("_of")).agg(F.max(F.struct(F.length("_home").alias("n"), "_home", F.col("_l.license").alias("license"))).alias("_near"))
+    nearest = settle(nearest)
+    if nearest.count() <= CARRIED:  # else the join meets by exchange
+        nearest = F.broadcast(nearest)
     return files.join(nearest, F.col("_dir") == F.col("_of"), "left").withColumn("inherited", F.col("_near.license")).withColumn("inherited_from", F.col("_near._home")).drop("_dir", "_of", "_near")
 
 
