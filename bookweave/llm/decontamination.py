@@ -24,9 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bookweave.llm import textkit
-from bookweave.llm.common import settle
+from bookweave.llm.common import boxed, settle, unboxed
 
-SEED, THRESHOLD = 5, 0.5
+SEED, THRESHOLD = 4, 0.5
 #: Benchmarks up to so many bytes of text travel to every task; larger ones meet the documents by joins.
 CARRIED = 64 << 20
 HITS = "array<struct<item_id:bigint,coverage:double,tiles:array<struct<doc:int,item:int,length:int>>>>"
@@ -207,6 +207,5 @@ def op6_decontamination(docs: DataFrame, benchmark: DataFrame, threshold: float
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that no item contaminates, with their columns."""
-    found = with_hits(docs, benchmark)
-    clean = found.where(~F.exists("_hits", lambda h: h["coverage"] >= threshold))
-    return clean.select(docs.columns)
+    found = with_hits(boxed(docs, "text"), benchmark)
+    return unboxed(found.where(~F.exists("_hits", lambda h: h["coverage"] >= threshold)))
