@@ -206,7 +206,7 @@ def replace_entities(docs: DataFrame, key: str = "example-key") -> DataFrame:
     new = F.when(F.col("_new").isNull(), text).otherwise(woven)
     kept = [c for c in docs.columns if c != "n_entities"]
     changed = joined.select(*(new.alias(c) if c == "text" else F.col(f"_row.`{c}`") for c in kept), F.coalesce(F.size("_new"), F.lit(0)).alias("n_entities"))
-    return changed.union(docs.where(~may).select(*kept, F.lit(0).alias("n_entities")))
+    return changed.union(docs.where(~may).select(*(F.col(f"`{c}`") for c in kept), F.lit(0).alias("n_entities")))
 
 
 def op1_surrogates(docs: DataFrame) -> DataFrame:
