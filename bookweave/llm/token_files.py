@@ -187,7 +187,7 @@ def _sequences(ids: np.ndarray, used: int, length: int, schema: pa.Schema) -> pa
     return pa.record_batch([pa.FixedSizeListArray.from_arrays(pa.array(ids), length), pa.FixedSizeListArray.from_arrays(mask, length)], schema=schema)
 
 
-def write(docs: DataFrame, out: str, tokenizer: str, length: int = 2048, rows: int = 64, end_id: int = 0, run: int = 1 << 22) -> DataFrame:
+def write(docs: DataFrame, out: str, tokenizer: str, length: int = 2048, rows: int = 64, end_id: int = 0, run: int = 1 << 21) -> DataFrame:
     """Writes docs (doc_id, text) below out; returns and keeps the manifest, one row for each file with the ids before it (start)."""
 
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
