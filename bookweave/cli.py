@@ -1,4 +1,4 @@
-"""Command line: ``run`` brings tasks to an end; ``delta`` codes, decodes, inspects and verifies books."""
+"""Command line: ``run`` brings tasks to an end; ``delta`` codes, decodes, inspects, verifies and evaluates books; ``transfer`` codes folders."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import argparse
 import sys
 from datetime import date
 
-from bookweave.operators import delta_blob, tasks
+from bookweave.operators import delta_blob, delta_columns, evaluation, replay, tasks
 from bookweave.plans import daily
 from bookweave.session import local_session
 from bookweave.sources import book_files
@@ -32,19 +32,61 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("--raw-max-gb", type=float, default=70)
     run.add_argument("--retry-delay-secs", type=float, default=60)
     delta = commands.add_parser("delta", help="the delta format").add_subparsers(dest="action", required=True)
-    for name in ("encode", "decode", "inspect", "verify"):
+    for name in ("encode", "decode", "inspect", "verify", "evaluate"):
         one = delta.add_parser(name)
         one.add_argument("input")
         if name in ("encode", "decode"):
             one.add_argument("-o", "--output", required=True)
-        if name == "encode":
+        if name in ("encode", "evaluate"):
             one.add_argument("--scale", type=int, default=delta_blob.SCALE)
             one.add_argument("--zstd-level", type=int, default=19)
         if name == "verify":
             one.add_argument("encoded")
+        if name == "evaluate":
+            one.add_argument("--restored-output")
+    batch = commands.add_parser("transfer", help="code or decode all files below a folder")
+    batch.add_argument("mode", choices=("encode", "decode"))
+    batch.add_argument("input")
+    batch.add_argument("output")
+    batch.add_argument("--scale", type=int, default=delta_blob.SCALE)
+    batch.add_argument("--zstd-level", type=int, default=19)
+    batch.add_argument("--verify", action="store_true")
+    batch.add_argument("--overwrite", action="store_true")
+    batch.add_argument("--dry-run", action="store_true")
+    batch.add_argument("--jobs", default="4")
     return p
 
 
+def transfer(args: argparse.Namespace) -> int:
+    """Prints a line for each file; 1 if any failed."""
+    spark = local_session(args.jobs)
+    options = {"skip_existing": not args.overwrite, "dry_run": args.dry_run}
+    if args.mode == "encode":
+        done = book_files.encode_tree(spark, args.input, args.output, args.scale, args.zstd_level, args.verify, **options)
+    else:
+        done = book_files.decode_tree(spark, args.input, args.output, **options)
+    rows = done.orderBy("input").collect()  # a row for each file
+    for r in rows:
+        print(f"{r.status}: {r.input} -> {r.output}" + (f": {r.error}" if r.error else ""))
+    return int(any(r.status == "failed" for r in rows))
+
+
+def evaluate(args: argparse.Namespace) -> None:
+    """Prints the sizes of six forms of a book and, if it is restored, how far the restored book is."""
+    table = book_files.read_book(args.input)
+    print(f"rows: {table.num_rows}")
+    for row in evaluation.sizes(book_files.read_bytes(args.input), table, args.scale, args.zstd_level):
+        print(f"{row['name']:34} {row['mib']:10.2f} {row['ratio'] * 100:9.2f}% {row['saved_pct']:9.2f}%")
+    if args.restored_output:
+        back = evaluation.read_base_offset(evaluation.base_offset_blob(table, args.scale))
+        book_files.publish(args.restored_output, book_files.parquet_bytes(back))
+        spark = local_session()
+        left, right = (spark.read.parquet(p) for p in (args.input, args.restored_output))
+        report = delta_columns.distance(left, right, ["timestamp_ms"], replay.book_columns())
+        for r in [*delta_columns.totals(report).collect(), *delta_columns.worst(report).collect()]:
+            print(" ".join(f"{k}={v}" for k, v in r.asDict().items()))
+
+
 def delta(args: argparse.Namespace) -> dict:
     if args.action == "encode":
         packed = delta_blob.encode(book_files.read_book(args.input), args.scale, args.zstd_level)
@@ -76,6 +118,11 @@ def wanted(spark, args: argparse.Namespace) -> list[tuple[str, date]]:
 def main(argv: list[str] | None = None, fetch: daily.Fetch = daily.fetch_http) -> int:
     args = parser().parse_args(argv)
     try:
+        if args.command == "transfer":
+            return transfer(args)
+        if args.command == "delta" and args.action == "evaluate":
+            evaluate(args)
+            return 0
         if args.command == "delta":
             print(" ".join(f"{k}={v}" for k, v in delta(args).items()))
             return 0

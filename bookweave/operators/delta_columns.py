@@ -139,6 +139,15 @@ def distance(left: DataFrame, right: DataFrame, keys: list[str], columns: list[s
     )
 
 
+def totals(report: DataFrame) -> DataFrame:
+    """All columns of a distance report together."""
+    cells = F.sum("cells")
+    return report.agg(
+        F.count("*").alias("columns"), cells.alias("cells"), F.sum("nonzero").alias("nonzero"), F.max("max_abs").alias("max_abs"),
+        (F.sum(F.col("mean_abs") * F.col("cells")) / cells).alias("mean_abs"), F.sqrt(F.sum(F.col("rmse") * F.col("rmse") * F.col("cells")) / cells).alias("rmse"),
+    )
+
+
 def worst(report: DataFrame, n: int = 10) -> DataFrame:
     """The columns of greatest difference, earlier columns first among equals."""
     return report.orderBy(F.desc("max_abs"), "place").limit(n)

@@ -85,14 +85,16 @@ def _each(spark: SparkSession, pairs: list[tuple[str, str]], work: Callable[[str
     return files.repartition(max(1, len(pairs))).mapInArrow(run, RESULT)
 
 
-def encode_tree(spark: SparkSession, root: str, out: str, scale: int = delta_blob.SCALE, level: int = 19, verify: bool = False, skip_existing: bool = True) -> DataFrame:
-    """Codes every book below root to a blob at the same place below out; non-empty blobs are left as they are."""
+def encode_tree(spark: SparkSession, root: str, out: str, scale: int = delta_blob.SCALE, level: int = 19, verify: bool = False, skip_existing: bool = True, dry_run: bool = False) -> DataFrame:
+    """Codes every book below root to a blob at the same place below out; non-empty blobs are left as they are. dry_run only says what would be done."""
     delta_blob.compress(b"", level)
     pairs = [(p, _moved(p, root, out, PARQUET, BLOB)) for p in find(root, PARQUET)]
 
     def work(source: str, target: str) -> dict:
         if skip_existing and _size(target):
             return {"status": "skipped"} | delta_blob.inspect(read_bytes(target))
+        if dry_run:
+            return {"status": "planned"}
         table = read_book(source)
         packed = delta_blob.encode(table, scale, level)
         if verify and delta_blob.same_bits(table, delta_blob.decode(packed)):
@@ -103,7 +105,7 @@ def encode_tree(spark: SparkSession, root: str, out: str, scale: int = delta_blo
     return _each(spark, pairs, work)
 
 
-def decode_tree(spark: SparkSession, root: str, out: str, skip_existing: bool = True) -> DataFrame:
+def decode_tree(spark: SparkSession, root: str, out: str, skip_existing: bool = True, dry_run: bool = False) -> DataFrame:
     """Decodes every blob below root to a Parquet file below out."""
     pairs = [(p, _moved(p, root, out, BLOB, PARQUET)) for p in find(root, BLOB)]
 
@@ -111,6 +113,8 @@ def decode_tree(spark: SparkSession, root: str, out: str, skip_existing: bool =
         packed = read_bytes(source)
         if skip_existing and _size(target):
             return {"status": "skipped"} | delta_blob.inspect(packed)
+        if dry_run:
+            return {"status": "planned"} | delta_blob.inspect(packed)
         publish(target, parquet_bytes(delta_blob.decode(packed)))
         return delta_blob.inspect(packed)
 

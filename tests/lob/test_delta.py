@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from bookweave.operators import delta_blob as blob
-from bookweave.operators import delta_columns, replay
+from bookweave.operators import delta_columns, evaluation, replay
 from bookweave.sources import book_files
 from pyspark.sql import functions as F
 
@@ -87,6 +87,20 @@ def test_column_time_blob_and_its_limits():
         blob.column_time_blob(sample(2, bid_sz_3=[None, 1.0]))
 
 
+def test_experiments():
+    table = sample(50)
+    raw = evaluation.base_offset_blob(table)
+    assert blob.same_bits(table, evaluation.read_base_offset(raw)) == 0
+    packed = book_files.parquet_bytes(table)
+    rows = evaluation.sizes(packed, table, level=3)
+    assert [r["name"] for r in rows][::2] == ["original parquet", "column delta blob raw", "base offset blob raw"] and rows[0]["ratio"] == 1 and rows[4]["bytes"] == len(raw)
+    for bad in (raw + b"x", raw[:-1], raw.replace(b"base_offset_v1", b"base_offset_v9")):
+        with pytest.raises(blob.BlobError):
+            evaluation.read_base_offset(bad)
+    with pytest.raises(blob.BlobError):
+        evaluation.base_offset_blob(sample(2, bid_sz_3=[None, 1.0]))
+
+
 def days(spark, tables):
     parts = [t.append_column("symbol", pa.array([s] * t.num_rows)).append_column("trade_date", pa.array([d] * t.num_rows)) for s, d, t in tables]
     return spark.createDataFrame(pa.concat_tables(parts)).withColumn("trade_date", F.to_date("trade_date"))
@@ -119,6 +133,7 @@ def test_files_there_and_back(spark, tmp_path):
     done = book_files.encode_tree(spark, root, coded, level=3, verify=True).collect()
     assert {(r.status, r.rows) for r in done} == {("done", 9), ("done", 5), ("done", 3)} and all(r.output.endswith(".okxd.zst") for r in done)
     assert {r.status for r in book_files.encode_tree(spark, root, coded).collect()} == {"skipped"}
+    assert {r.status for r in book_files.encode_tree(spark, root, str(tmp_path / "dry"), dry_run=True).collect()} == {"planned"} and not (tmp_path / "dry").exists()
     assert {r.status for r in book_files.decode_tree(spark, coded, back).collect()} == {"done"}
     assert {r.status for r in book_files.verify_tree(spark, back, coded).collect()} == {"done"}
     assert book_files.scan_blobs(spark, coded).count() == 17
@@ -132,5 +147,7 @@ def test_distance_and_compression(spark):
     b = spark.createDataFrame([(1, 1.0, 5.5), (2, 5.0, 6.0)], "k int, x double, y double")
     rows = delta_columns.worst(delta_columns.distance(a, b, ["k"], ["x", "y"]), 10).collect()
     assert [(r.column, r.max_abs, r.mean_abs, round(r.rmse, 6), r.nonzero) for r in rows] == [("x", 3.0, 1.5, 2.12132, 1), ("y", 0.5, 0.25, 0.353553, 1)]
+    total = delta_columns.totals(delta_columns.distance(a, b, ["k"], ["x", "y"])).first()
+    assert (total.columns, total.cells, total.nonzero, total.max_abs, total.mean_abs, round(total.rmse, 6)) == (2, 4, 2, 3.0, 0.875, round((9.25 / 4) ** 0.5, 6))
     sizes = spark.createDataFrame([("original", 100, 100), ("blob", 25, 100)], "name string, bytes long, original long")
     assert [(r.ratio, r.saved_pct) for r in delta_columns.compression(sizes).orderBy("bytes").collect()] == [(0.25, 75.0), (1.0, 0.0)]

@@ -159,6 +159,9 @@ def test_command_line(spark, tmp_path, capsys):
         assert cli.main(["delta", *args]) == 0
     assert "rows=1 depth=20 scale=1000000" in capsys.readouterr().out and book_files.read_book(back).num_rows == 1
     assert cli.main(["delta", "inspect", back]) == 1
+    assert cli.main(["delta", "evaluate", book]) == 1  # a one-sided depth has nulls
+    assert cli.main(["transfer", "encode", str(tmp_path / "parquet"), str(tmp_path / "t"), "--verify"]) == 0 and (tmp_path / "t/A/2024-01-01.okxd.zst").exists()
+    assert cli.main(["transfer", "decode", str(tmp_path / "t"), str(tmp_path / "u")]) == 0 and (tmp_path / "u/A/2024-01-01.parquet").exists()
     assert cli.main(["run", "--symbol", "A", "--start", "2024-01-02", "--end", "2024-01-01", *roots]) == 1
     with pytest.raises(SystemExit):
         cli.main(["run", "--symbol", "A", "--target-file", "x"])
