@@ -11,7 +11,9 @@ when 100 * shared >= percent * union. Documents of equal sets form a class; the
 3. In a block, classes become leaves of a signature tree, whose nodes hold OR-combined bitmaps of
    shingles and ranges of set size. A dual traversal prunes pairs of nodes whose greatest possible
    overlap is too small; the pairs left are counted exactly, but for those already connected.
-   A block too large for one task is cut by set size and hash, and its parts meet in pairs.
+   A block too large for one task is cut by set size and hash. Each part is joined in itself, then one
+   class of each connected part of each; what is then the block's largest component needs no further
+   joins in itself, and only the classes outside it meet each other and the rest, part by part.
 
 Null and empty texts and texts without words have empty sets and link with nothing, not even each other.
 A text of fewer words than a shingle has one shingle, of all its words. Equal rows share a class; rows of
@@ -25,16 +27,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bookweave.llm import textkit
-from bookweave.llm.common import settle
+from bookweave.llm.common import boxed, settle, unboxed
 from bookweave.llm.graph import components
 
 BITS, FAN = 4096, 8
-#: Shingles that one task holds of a block, and rows up to which a table of ids travels to all tasks (16 bytes each).
-TASK_SHINGLES, CARRIED = 1 << 22, 1 << 20
+#: Offers beyond those that a partner may lack.
+SLACK = 96
+#: Shingles that one task holds of a block (a class counts as LEAST at least, for its bitmap), and rows up to which a table of ids travels to all tasks (about 100 bytes each).
+TASK_SHINGLES, LEAST, CARRIED = 1 << 20, 256, 1 << 18
 NO_ID = -(2**63)
 
 
@@ -44,8 +48,9 @@ def missing(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def offered(n: np.ndarray, percent: int) -> np.ndarray:
+    """How many hashes a class of n offers: so many more than it can miss that common passages of some length can be left out."""
     d = missing(n, percent)
-    return np.minimum(n, d + d // 2 + 8)
+    return np.minimum(n, d + np.maximum(SLACK, d // 3))
 
 
 def kept(n: np.ndarray, percent: int) -> np.ndarray:
@@ -55,6 +60,17 @@ def kept(n: np.ndarray, percent: int) -> np.ndarray:
     return offered(n, percent) - np.maximum(shared, 1) + 1
 
 
+def offered_sql(n: str, percent: int) -> str:
+    d = f"({n} - (({percent} * {n} + 99) DIV 100))"
+    return f"least({n}, {d} + greatest({SLACK}, {d} DIV 3))"
+
+
+def kept_sql(percent: int) -> str:
+    small = f"(({percent} * n + 99) DIV 100)"
+    slack = lambda n: f"({offered_sql(n, percent)} - ({n} - (({percent} * {n} + 99) DIV 100)))"
+    return f"{offered_sql('n', percent)} - greatest(least({slack('n')}, {slack(small)}), 1) + 1"
+
+
 def sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
     """The ordered distinct shingle hashes of each text."""
     for _, _, data, offsets in textkit.runs(column):
@@ -93,16 +109,12 @@ def _carry(df: DataFrame, rows: int) -> DataFrame:
 def shared_offers(classes: DataFrame, percent: int) -> DataFrame:
     """classes: c, n, low. (c, t): the kept offers that other classes have offered too."""
 
-    @F.arrow_udf("struct<offered:int,kept:int>")
-    def bounds(n: pa.Array) -> pa.Array:
-        n = n.to_numpy().astype(np.int64)
-        return pa.StructArray.from_arrays([pa.array(offered(n, percent).astype(np.int32)), pa.array(kept(n, percent).astype(np.int32))], ["offered", "kept"])
-
     rows = classes.select("c", "n", F.explode("low").alias("t"))
     counts = rows.groupBy("t").agg(F.count("*").alias("df")).where("df > 1")
     common = rows.join(counts, "t")
     ranked = common.groupBy("c", "n").agg(F.sort_array(F.collect_list(F.struct("df", "t"))).alias("o"))  # at most a(n) of one class
-    ranked = ranked.withColumn("b", bounds("n")).withColumn("take", F.col("b.kept") - (F.col("b.offered") - F.size("o")))
+    common_only = F.expr(kept_sql(percent)) - (F.expr(offered_sql("n", percent)) - F.size("o"))  # offers of one class alone are the rarest
+    ranked = ranked.withColumn("take", common_only.cast("int"))
     return ranked.where("take > 0").select("c", F.explode(F.slice("o", 1, F.col("take"))).alias("o")).select("c", F.col("o.t").alias("t"))
 
 
@@ -156,12 +168,15 @@ class Tree:
         return a, b
 
 
-def join_block(items: list[np.ndarray], percent: int, halves: np.ndarray | None = None) -> np.ndarray:
-    """The least position that each set of a block is connected to by links. halves: join only sets of unequal halves."""
+def join_block(items: list[np.ndarray], percent: int, halves: np.ndarray | None = None, start: np.ndarray | None = None) -> np.ndarray:
+    """The least position that each set of a block is connected to by links. halves: join only sets of unequal halves. start: sets of equal value are connected already."""
     n = np.array([len(s) for s in items])
-    label = np.arange(len(items))
     order = np.lexsort((n, [int(s[0]) for s in items])) if len(items) > FAN else np.arange(len(items))
     items, sized = [items[i] for i in order], n[order]
+    label = np.arange(len(items))
+    if start is not None:
+        _, first, known = np.unique(start[order], return_index=True, return_inverse=True)
+        label = first[known]
     side = halves[order] if halves is not None else None
     names, dense = np.unique(np.concatenate(items), return_inverse=True)
     at = np.r_[0, np.cumsum(sized)]
@@ -200,50 +215,60 @@ def join_block(items: list[np.ndarray], percent: int, halves: np.ndarray | None
     return out
 
 
-def parts(members: DataFrame, percent: int, task: int) -> tuple[DataFrame, DataFrame]:
-    """members: c, n, block. (c, job, half): the jobs that join blocks, and for blocks cut in parts the pairs of parts (half 0 and 1; null: join all)."""
-    weights = members.groupBy("block").agg(F.sum("n").alias("w"))
-    small = members.join(weights.where(F.col("w") <= task), "block").select("c", F.col("block").cast("string").alias("job"), F.lit(None).cast("int").alias("half"))
-    large = members.join(weights.where(F.col("w") > task).drop("w"), "block")
-    level = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(100 / percent) if percent < 100 else 1e9)) + 1e-9).cast("int")
-    large = large.withColumn("level", level)
-    width = large.groupBy("block", "level").agg(F.ceil(F.sum("n") * 2 / task).cast("int").alias("k"))
-    large = large.join(width, ["block", "level"]).withColumn("i", F.pmod(F.xxhash64("c", F.lit(5)), F.col("k")).cast("int"))
-    job = lambda l1, i1, l2, i2: F.concat_ws("/", F.col("block").cast("string"), l1, i1, l2, i2)
-    own = large.select("c", "block", "level", "i", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("j"))
-    same = own.select("c", job("level", F.least("i", "j"), "level", F.greatest("i", "j")).alias("job"), F.when(F.col("i") != F.col("j"), (F.col("i") > F.col("j")).cast("int")).alias("half"))
-    found = [small, same]
-    for step, half in ((1, 0), (2, 0), (-1, 1), (-2, 1)):  # sizes of links differ by less than two levels
-        near = width.select("block", (F.col("level") - step).alias("level"), F.col("k").alias("k2"))
-        met = large.join(near, ["block", "level"]).select("c", "block", "level", "i", F.explode(F.sequence(F.lit(0), F.col("k2") - 1)).alias("j"))
-        key = job("level", "i", F.col("level") + step, "j") if step > 0 else job(F.col("level") + step, "j", "level", "i")
-        found.append(met.select("c", key.alias("job"), F.lit(half).alias("half")))
-    out = found[0]
-    for other in found[1:]:
-        out = out.union(other)
-    return out
+def load() -> Column:
+    """What a class takes of a task."""
+    return F.sum(F.greatest("n", F.lit(LEAST)))
+
+
+def cut(rows: DataFrame, percent: int, task: int) -> DataFrame:
+    """rows: c, n, block. Adds level (sizes of links differ by one at most), k (parts of the block's level) and i (the row's part)."""
+    unit = max(float(np.log(100 / percent)) * 1.0001, 1e-6)
+    rows = rows.withColumn("level", F.floor(F.log(F.col("n").cast("double")) / F.lit(unit)).cast("int"))
+    width = rows.groupBy("block", "level").agg(F.ceil(load() * 2 / task).cast("int").alias("k"))
+    return rows.join(width, ["block", "level"]).withColumn("i", F.pmod(F.xxhash64("c", F.lit(5)), F.col("k")).cast("int"))
+
+
+def _job(kind: str, *names: Column | str) -> Column:
+    return F.concat_ws("/", F.lit(kind), F.col("block").cast("string"), *names)
+
+
+def _facing(rows: DataFrame, others: DataFrame) -> DataFrame:
+    """rows, once for each part (level2, j) of others that may hold partners by size."""
+    width = others.groupBy("block", F.col("level").alias("level2")).agg(F.max("k").alias("k2"))
+    near = rows.withColumn("level2", F.explode(F.array(*(F.col("level") + d for d in (-1, 0, 1)))))
+    return near.join(width, ["block", "level2"]).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k2") - 1)))
+
+
+def crossing(rest: DataFrame, main: DataFrame) -> DataFrame:
+    """(c, job, half): the jobs in which parts of rest meet each other, and parts of main; half null: join all."""
+    met = _facing(rest, rest)
+    own, other = F.struct("level", "i"), F.struct("level2", "j")
+    key = F.when(own <= other, _job("r", "level", "i", "level2", "j")).otherwise(_job("r", "level2", "j", "level", "i"))
+    half = F.when(own < other, 0).when(own > other, 1)
+    out = met.select("c", key.alias("job"), half.alias("half"))
+    out = out.union(_facing(rest, main).select("c", _job("m", "level", "i", "level2", "j").alias("job"), F.lit(0).alias("half")))
+    return out.union(_facing(main, rest).select("c", _job("m", "level2", "j", "level", "i").alias("job"), F.lit(1).alias("half")))
 
 
 def links(docs: DataFrame, members: DataFrame, jobs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b): edges that connect the classes of each job as all its links do. members: c, id (a document of the class)."""
+    """(a, b): edges that connect the classes of each job as all its links do. members: c, id (a document of the class), root (what is connected already). jobs: c, job, half."""
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.col("text").cast("string").alias("text"))
-    wanted = members.join(jobs, "c").groupBy("id", "c").agg(F.collect_list(F.struct("job", "half")).alias("jobs"))
-    rows = wanted.count()
-    found = texts.join(_carry(wanted, rows), "id").select(F.explode("jobs").alias("j"), "c", "text").select("j.job", "j.half", "c", "text")
+    wanted = settle(members.select("c", "id", "root").join(jobs, "c").groupBy("id", "c", "root").agg(F.collect_list(F.struct("job", "half")).alias("jobs")))
+    found = texts.join(_carry(wanted, wanted.count()), "id").select(F.explode("jobs").alias("j"), "c", "root", "text").select("j.job", "j.half", "c", "root", "text")
     found = found.repartition("job").sortWithinPartitions("job")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         job, held = None, {}
         for batch in batches:
-            names, halves, classes = (batch.column(i).to_pylist() for i in range(3))
+            names, halves, classes, roots = (batch.column(i).to_pylist() for i in range(4))
             edges: list[tuple[int, int]] = []
-            for name, half, c, s in zip(names, halves, classes, sets(batch.column(3), words), strict=True):
+            for name, half, c, root, s in zip(names, halves, classes, roots, sets(batch.column(4), words), strict=True):
                 if name != job:
                     edges += finish(held)
                     job, held = name, {}
                 if identity(s) == c:  # else another text of the same doc_id
-                    held[c] = (half, s)
+                    held[c] = (half, root, s)
             if edges:
                 yield pa.RecordBatch.from_arrays([pa.array([e[i] for e in edges], pa.int64()) for i in (0, 1)], schema=schema)
         edges = finish(held)
@@ -255,10 +280,38 @@ def links(docs: DataFrame, members: DataFrame, jobs: DataFrame, words: int, perc
             return []
         classes = sorted(held)
         halves = np.array([held[c][0] for c in classes]) if held[classes[0]][0] is not None else None
-        root = join_block([held[c][1] for c in classes], percent, halves)
+        root = join_block([held[c][2] for c in classes], percent, halves, np.array([held[c][1] for c in classes]))
         return [(classes[i], classes[r]) for i, r in enumerate(root.tolist()) if i != r]
 
-    return found.mapInArrow(joined, "a long, b long")
+    return settle(found.mapInArrow(joined, "a long, b long"))
+
+
+def connected(docs: DataFrame, members: DataFrame, words: int, percent: int, task: int) -> DataFrame:
+    """members: c, n, id, block. (node, root) of all classes that links connect to others."""
+
+    def with_root(edges: DataFrame) -> DataFrame:
+        roots = components(edges)
+        return settle(members.join(roots, members["c"] == roots["node"], "left").select("c", "n", "id", "block", F.coalesce("root", "c").alias("root")))
+
+    weights = members.groupBy("block").agg(load().alias("w"))
+    heavy = settle(weights.where(F.col("w") > task).select("block"))
+    no_half = F.lit(None).cast("int").alias("half")
+    alone = members.withColumn("root", F.col("c"))
+    small = members.join(heavy, "block", "left_anti").select("c", _job("b").alias("job"), no_half)
+    if heavy.isEmpty():
+        return components(links(docs, alone, small, words, percent))
+    large = settle(cut(members.join(heavy, "block"), percent, task))
+    edges = links(docs, alone, small.union(large.select("c", _job("p", "level", "i").alias("job"), no_half)), words, percent)
+    rooted = with_root(edges)
+    heads = large.join(rooted.select("c", "root"), "c").groupBy("block", "level", "i", "root").agg(F.min(F.struct("c", "n")).alias("h")).select("block", "h.c", "h.n")
+    few = heads.groupBy("block").agg(load().alias("w")).where(F.col("w") <= task).select("block")
+    edges = settle(edges.union(links(docs, rooted, heads.join(few, "block").select("c", _job("h").alias("job"), no_half), words, percent)))
+    rooted = with_root(edges)
+    split = rooted.join(heavy, "block")
+    most = split.groupBy("block", "root").agg(F.sum("n").alias("w")).groupBy("block").agg(F.max_by("root", F.struct("w", "root")).alias("main"))
+    split = settle(split.join(most, "block"))
+    rest, main = (settle(cut(split.where(x).select("c", "n", "block"), percent, task)) for x in ("root <> main", "root = main"))
+    return components(edges.union(links(docs, rooted, crossing(rest, main), words, percent)))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, task: int = TASK_SHINGLES) -> DataFrame:
@@ -270,12 +323,12 @@ def _components(docs: DataFrame, words: int, percent: int, task: int) -> DataFra
     all_ = settle(offers(docs, words, percent))
     classes = settle(all_.where("n > 0").groupBy("c", "n").agg(F.min("id").alias("id"), F.count("*").alias("copies")))
     repeated = classes.where("copies > 1").select("c")
-    others = all_.where("n > 0").join(_carry(repeated, repeated.count()), "c", "left_anti").select("c", "n", "low")
-    copied = all_.where("n > 0").join(_carry(repeated, repeated.count()), "c", "left_semi").groupBy("c", "n").agg(F.first("low").alias("low"))
+    repeated = _carry(repeated, repeated.count())
+    others = all_.where("n > 0").join(repeated, "c", "left_anti").select("c", "n", "low")
+    copied = all_.where("n > 0").join(repeated, "c", "left_semi").groupBy("c", "n").agg(F.first("low").alias("low"))
     found = blocks(shared_offers(others.union(copied), percent))
     members = settle(classes.join(found, "c").select("c", "n", "id", "block"))
-    edges = links(docs, members.select("c", "id"), parts(members, percent, task), words, percent)
-    roots = settle(components(edges))
+    roots = settle(connected(docs, members, words, percent, task))
     homes = classes.join(roots, classes["c"] == roots["node"], "left").select("c", "n", "id", F.coalesce("root", "c").alias("root"))
     least = homes.groupBy("root").agg(F.min("id").alias("component"))
     homes = homes.join(least, "root").select("c", F.col("n").alias("_n"), "component")
@@ -296,11 +349,9 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) ->
     """The documents without all but one (of least doc_id) of each group that links connect; rows without words all stay."""
     found = settle(_components(docs, words, percent, TASK_SHINGLES))
     gone = found.where("id <> component").select("id").distinct()
-    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
-    stay = docs.withColumn("_own", own).join(_carry(gone.withColumnRenamed("id", "_gone"), gone.count()), F.col("_own") == F.col("_gone"), "left_anti").drop("_own")
+    stay = boxed(docs, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id")).join(_carry(gone, gone.count()), "id", "left_anti")
     twice = found.where("id = component AND n > 0").groupBy("id").count().where("count > 1").select("id")
     if twice.isEmpty():
-        return stay
-    again = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("id")
-    single = stay.join(twice, again, "left_anti")
-    return single.union(stay.join(twice, again, "left_semi").dropDuplicates(["doc_id"]))
+        return unboxed(stay)
+    single = stay.join(twice, "id", "left_anti")
+    return unboxed(single.select("id", "_row").union(stay.join(twice, "id", "left_semi").select("id", "_row").dropDuplicates(["id"])))

@@ -55,7 +55,7 @@ def corpus(seed, n=260):
     return out[:n]
 
 
-@pytest.mark.parametrize(("seed", "words", "percent", "task"), [(1, 4, 85, 1 << 22), (2, 5, 80, 1 << 22), (3, 4, 85, 900)])
+@pytest.mark.parametrize(("seed", "words", "percent", "task"), [(1, 4, 85, 1 << 22), (2, 5, 80, 1 << 22), (3, 4, 85, 9000), (5, 4, 85, 2000), (6, 5, 80, 30_000)])
 def test_jaccard_join_against_all_pairs(spark, seed, words, percent, task):
     texts = [*corpus(seed), None, "", " \n", "é ü"]
     root = groups([shingle_set(t, words) for t in texts], percent)
@@ -103,6 +103,13 @@ def test_kept_offers_are_enough():
                 assert shared > slack[size - 1] and shared > slack[other - 1]
 
 
+def test_bounds_in_sql(spark):
+    for percent in (50, 80, 85, 100):
+        rows = spark.range(1, 3000).selectExpr("CAST(id AS INT) AS n").selectExpr("n", f"{jaccard.offered_sql('n', percent)} AS o", f"{jaccard.kept_sql(percent)} AS k").orderBy("n").collect()
+        n = np.arange(1, 3000)
+        assert [r.o for r in rows] == jaccard.offered(n, percent).tolist() and [r.k for r in rows] == jaccard.kept(n, percent).tolist()
+
+
 def test_jaccard_of_odd_tables(spark):
     assert jaccard.op8_jaccard(frame(spark, [])).collect() == []
     rows = [(5, "a b c d e"), (5, "a b c d e"), (None, "a b c d e"), (7, "other words in this text"), (7, "a b c d e"), (9, None), (8, "x " * 30_000)]
@@ -120,11 +127,12 @@ def test_drop_near_duplicates_keeps_one_of_each_group(spark):
     assert sorted(r.doc_id for r in out.collect()) == sorted([*{*root, *empty}, *([] if texts[0].split() else [0])])
 
 
-def test_components_of_long_chains(spark):
+@pytest.mark.parametrize("small", [0, 1 << 20])
+def test_components_of_long_chains(spark, small):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 103), (103, 101), (200, 200), (7, 300)]
-    got = {r.node: r.root for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r.node: r.root for r in graph.components(spark.createDataFrame(edges, "a long, b long"), small=small).collect()}
     assert got == {**{i: 0 for i in range(61)}, 300: 0, 100: 100, 101: 100, 103: 100}
-    assert graph.components(spark.createDataFrame([], "a long, b long")).collect() == []
+    assert graph.components(spark.createDataFrame([], "a long, b long"), small=small).collect() == []
 
 
 def plain_tiles(doc, item, seed):
