@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from bookweave.llm.common import boxed, settle
 
-CELLS, SMALL = 1024, 100_000
+CELLS, SMALL = 4096, 100_000
 NODES = "node long, dim int, low double, high double, ulow long, uhigh long, spent double, goal double"
 
 
@@ -91,7 +91,7 @@ def grow(tree: DataFrame, shards: int) -> DataFrame:
                 nodes.append((s.node, dim, s[f"min{dim}"], s[f"max{dim}"], 0, (1 << 40) - 1, 0.0, s.w * (share[s.node][1] // 2) / share[s.node][1]))
         cuts = []
         if nodes:
-            for by_hash, rounds in ((False, 3), (True, 4)):
+            for by_hash, rounds in ((False, 2), (True, 3)):
                 for _ in range(rounds):
                     nodes, most = _narrow(spark, tree, nodes, by_hash)
                     if most == 1:
