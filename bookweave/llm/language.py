@@ -110,7 +110,8 @@ def fit(docs: DataFrame, sample: int = 4000, rounds: int = 150, decay: float = 1
                 x.append(row[at[-1]].astype(np.float32))
         return pa.StructArray.from_arrays([pa.array(at, pa.list_(pa.int32())), pa.array(x, pa.list_(pa.float32()))], ["at", "x"])
 
-    rows = picked.orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(2 * sample).select("lang", sparse("text").alias("v")).toArrow()
+    rows = picked.select("lang", F.xxhash64("doc_id", F.lit(11)).alias("h"), "doc_id", sparse("text").alias("v"))
+    rows = rows.orderBy("h", "doc_id").limit(2 * sample).select("lang", "v").toArrow()  # repeated ids can't exceed that
     x = np.zeros((rows.num_rows, WIDTH), np.float32)
     v = rows.column("v").combine_chunks()
     ends = np.cumsum([0, *(len(a) for a in v.field("at"))])

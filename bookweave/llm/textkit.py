@@ -60,6 +60,7 @@ def runs(column: pa.Array | pa.ChunkedArray, limit: int = RUN_BYTES) -> Iterator
         end = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1)
         yield first, end, data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first]
         first = end
+    pa.default_memory_pool().release_unused()  # workers outlive their tasks and would keep it
 
 
 def spans(space: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
