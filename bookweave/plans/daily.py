@@ -51,14 +51,12 @@ def fetch_http(symbol: str, day: date, path: str, base: str = tasks.ARCHIVES, ti
     url = f"{base}/{day:%Y%m%d}/{symbol}-L2orderbook-400lv-{day:%Y-%m-%d}.tar.gz"
     try:
         with urllib.request.urlopen(urllib.request.Request(url, headers={"User-Agent": "Mozilla/5.0"}), timeout=timeout) as reply:
-            data, length = reply.read(), reply.headers.get("Content-Length")
+            length = reply.headers.get("Content-Length")
+            book_files.publish(path, reply, None if length is None else int(length))
     except urllib.error.HTTPError as e:
         if e.code == 404:
             return False
         raise
-    if length is not None and int(length) != len(data):
-        raise OSError(f"got {len(data)} of {length} bytes")
-    book_files.publish(path, data)
     wrong = archive.valid(path)
     if wrong:
         ledger_files.remove(path)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import io
 import posixpath
 from collections.abc import Callable, Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -23,13 +25,17 @@ def day_path(root: str, symbol: str, trade_date: object, suffix: str) -> str:
     return posixpath.join(root, symbol, f"{trade_date}{suffix}")
 
 
-def publish(path: str, data: bytes) -> None:
-    """Writes beside the path and renames, so that readers see whole files only."""
+def publish(path: str, data: bytes | BinaryIO, size: int | None = None) -> None:
+    """Writes beside the path and renames, so that readers see whole files only. A stream goes piece by piece; size: how many bytes it must have."""
     fs, inner = filesystem(path)
     fs.create_dir(posixpath.dirname(inner), recursive=True)
+    source, written = io.BytesIO(data) if isinstance(data, bytes) else data, 0
     try:
         with fs.open_output_stream(inner + ".tmp", compression=None) as f:
-            f.write(data)
+            while piece := source.read(1 << 20):
+                written += f.write(piece)
+        if size is not None and written != size:
+            raise OSError(f"got {written} of {size} bytes")
         fs.move(inner + ".tmp", inner)
     finally:
         if fs.get_file_info(inner + ".tmp").type != pa.fs.FileType.NotFound:

@@ -1,9 +1,13 @@
 """Archives, tasks, ledger, the daily run and the command line."""
 
 import gzip
+import io
 import json
+import threading
 import zlib
 from datetime import date
+from functools import partial
+from http.server import SimpleHTTPRequestHandler, ThreadingHTTPServer
 
 import pytest
 from pyspark.sql import functions as F
@@ -116,6 +120,25 @@ def local_fetch(archives):
     return fetch
 
 
+def test_fetching_over_http(tmp_path):
+    good = archive_writer.archive([("a.json", lines(SNAP))])
+    put(tmp_path / "www/20240101/A-L2orderbook-400lv-2024-01-01.tar.gz", good)
+    put(tmp_path / "www/20240102/A-L2orderbook-400lv-2024-01-02.tar.gz", good[:-8])
+    handler = partial(SimpleHTTPRequestHandler, directory=str(tmp_path / "www"))
+    with ThreadingHTTPServer(("127.0.0.1", 0), handler) as server:
+        threading.Thread(target=server.serve_forever, daemon=True).start()
+        base, path = f"http://127.0.0.1:{server.server_port}", str(tmp_path / "raw/A/x.tar.gz")
+        assert daily.fetch_http("A", date(2024, 1, 1), path, base) and (tmp_path / "raw/A/x.tar.gz").read_bytes() == good
+        assert daily.fetch_http("A", date(2024, 1, 3), path, base) is False
+        with pytest.raises(OSError):
+            daily.fetch_http("A", date(2024, 1, 2), path, base)
+        server.shutdown()
+    assert not (tmp_path / "raw/A/x.tar.gz").exists()
+    with pytest.raises(OSError, match="got 3 of 4"):
+        book_files.publish(path, io.BytesIO(b"abc"), 4)
+    assert list((tmp_path / "raw/A").iterdir()) == []
+
+
 def test_daily_run(spark, tmp_path):
     good = archive_writer.archive([("a.json", lines(SNAP)), ("b.json", lines(UPD, {**UPD, "ts": "1350"}))])
     late = archive_writer.archive([("a.json", lines(SNAP, UPD, {**UPD, "ts": "1099"}))])
