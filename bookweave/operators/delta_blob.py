@@ -164,7 +164,7 @@ def read_header(raw: bytes) -> tuple[dict, int]:
 def unpack(raw: bytes) -> pa.Table:
     """The sampled book of an uncompressed blob."""
     head, at = read_header(raw)
-    rows, scale, names, data = head["rows"], head["scale"], book_columns(), None
+    rows, scale, names = head["rows"], head["scale"], book_columns()
     data = _Bytes(raw, at)
     present = {name: np.unpackbits(data.take("u1", (rows + 7) // 8), count=rows, bitorder="little").astype(bool) for name in names}
     times = data.steps(rows)
