@@ -2,21 +2,13 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bookweave import session
+
 #: A word: a run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-
-_local: dict[str, str] = {}
-
-
 #: Spark's own size of the batches that go to Python workers, and the one used here: whole texts are large rows.
 ARROW_BYTES, ARROW_DEFAULT, ARROW_SMALL = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", str(4 << 20)
 
@@ -32,21 +24,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tuned(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder name below ``spark.checkpoint.dir``; a local one only where that is unset and Spark is local."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or _local.get(spark.sparkContext.applicationId)
-    if not root:
-        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = _local[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="bookweave-")
-    return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
-
-
 def settle(df: DataFrame) -> DataFrame:
     """Writes df to the shared folder and reads it back: lineage ends at files that outlive executors."""
-    path = shared_dir(tuned(df.sparkSession))
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    tuned(df.sparkSession)
+    return session.settle(df, "llm")
 
 
 def boxed(docs: DataFrame, *more: Column | str) -> DataFrame:
@@ -58,10 +39,6 @@ def unboxed(rows: DataFrame) -> DataFrame:
     return rows.select("_row.*")
 
 
-def ascii_lower(text: Column) -> Column:
-    return F.translate(text, UPPER, LOWER)
-
-
 def word_count(text: Column) -> Column:
     """Words of a text, 0 for null; counts word ends without building the words."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -31,7 +31,6 @@ _rng = np.random.Generator(np.random.PCG64(20240503))
 ORDER = np.argsort(_rng.random((BINS, BINS)), axis=1).astype(np.int16)
 RANK = np.argsort(ORDER, axis=1).astype(np.int16)
 SALT = _rng.integers(0, 2**63, BINS, dtype=np.uint64)
-ONES = np.array([bin(i).count("1") for i in range(256)])
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 

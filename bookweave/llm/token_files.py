@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bookweave.llm import textkit
-from bookweave.llm.common import shared_dir
+from bookweave.session import shared_dir
 
 #: Codes for all bytes, white space included.
 BYTE_CODE = np.random.Generator(np.random.PCG64(20240502)).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -269,4 +269,4 @@ def sequence(path: str, row: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def op10_token_files(spark: SparkSession, docs: DataFrame, tokenizer: str) -> DataFrame:
-    return read(write(docs, shared_dir(spark), tokenizer))
+    return read(write(docs, shared_dir(spark, "tokens"), tokenizer))
