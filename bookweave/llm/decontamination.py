@@ -16,10 +16,12 @@ coverage to the least item_id. Equal rows get equal results; extra columns play
 from __future__ import annotations
 
 import heapq
+import uuid
 from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -127,11 +129,12 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, seed: int = SEED, carried:
     if size > carried:
         return _joined(docs, bench, seed)
     rows = bench.distinct().orderBy("item_id", "text").collect()  # at most ``carried`` bytes
-    index = docs.sparkSession.sparkContext.broadcast((([r.item_id for r in rows]), [r.text for r in rows]))
+    index = docs.sparkSession.sparkContext.broadcast(([r.item_id for r in rows], [r.text for r in rows]))
+    name = uuid.uuid4().hex
 
     @F.arrow_udf(HITS)
     def hits(text: pa.Array) -> pa.Array:
-        return pa.array(_index(index, seed).hits(text), _hit_type())
+        return pa.array(_index(name, index, seed).hits(text), _hit_type())
 
     return docs.withColumn("_hits", hits(F.col("text").cast("string")))
 
@@ -141,16 +144,15 @@ def _hit_type() -> pa.DataType:
     return pa.list_(pa.struct([("item_id", pa.int64()), ("coverage", pa.float64()), ("tiles", pa.list_(tile_type))]))
 
 
-_built: dict[tuple[int, int], Benchmark] = {}
+_built: dict[tuple[str, int], Benchmark] = {}
 
 
-def _index(variable, seed: int) -> Benchmark:
-    """The index of a broadcast benchmark, built once in each worker process."""
-    key = (variable._jbroadcast.id() if getattr(variable, "_jbroadcast", None) else id(variable), seed)
-    if key not in _built:
+def _index(name: str, variable: Broadcast, seed: int) -> Benchmark:
+    """The index of a broadcast benchmark, built once in each worker process; name: unlike that of any other benchmark."""
+    if (name, seed) not in _built:
         _built.clear()
-        _built[key] = Benchmark(*variable.value, seed)
-    return _built[key]
+        _built[name, seed] = Benchmark(*variable.value, seed)
+    return _built[name, seed]
 
 
 def _joined(docs: DataFrame, bench: DataFrame, seed: int) -> DataFrame:

@@ -185,6 +185,14 @@ def test_decontamination_both_ways(spark, carried):
     assert first._hits[0].coverage == 1.0 and len(first._hits[0].tiles) == 2
 
 
+def test_each_benchmark_has_its_own_index(spark):
+    """Workers outlive queries; what one query built must not serve the next."""
+    docs = frame(spark, [(i, f"alpha beta gamma delta number {i}") for i in range(12)]).repartition(4)
+    for i in range(12):
+        bench = spark.createDataFrame([(i, f"gamma delta number {i}")], "item_id long, text string")
+        assert [r.doc_id for r in decontamination.op6_decontamination(docs, bench).where("contaminated").collect()] == [i]
+
+
 def test_decontamination_rows_and_filter(spark):
     bench = spark.createDataFrame([(1, ITEM), (2, "Tiny item")], "item_id long, text string")
     docs = frame(spark, enumerate(t for t, _ in CASES))
