@@ -85,6 +85,16 @@ def identity(s: np.ndarray) -> int:
     return int(textkit.mix(total).view(np.int64)[0]) if len(s) else 0
 
 
+def classed(text: Column, words: int) -> Column:
+    """The class of each text, 0 where it has no words."""
+
+    @F.arrow_udf("bigint")
+    def named(text: pa.Array) -> pa.Array:
+        return pa.array([identity(s) for s in sets(text, words)], pa.int64())
+
+    return named(text.cast("string"))
+
+
 def offers(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """id, n, c (the class) and low (its offers) of each document."""
 
@@ -320,6 +330,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, task: in
 
 
 def _components(docs: DataFrame, words: int, percent: int, task: int) -> DataFrame:
+    """id, n, component (the least id reachable by links), c and root (the class that stands for the component) of each document."""
     all_ = settle(offers(docs, words, percent))
     classes = settle(all_.where("n > 0").groupBy("c", "n").agg(F.min("id").alias("id"), F.count("*").alias("copies")))
     repeated = classes.where("copies > 1").select("c")
@@ -331,9 +342,9 @@ def _components(docs: DataFrame, words: int, percent: int, task: int) -> DataFra
     roots = settle(connected(docs, members, words, percent, task))
     homes = classes.join(roots, classes["c"] == roots["node"], "left").select("c", "n", "id", F.coalesce("root", "c").alias("root"))
     least = homes.groupBy("root").agg(F.min("id").alias("component"))
-    homes = homes.join(least, "root").select("c", F.col("n").alias("_n"), "component")
-    linked = all_.where("n > 0").select("id", "n", "c").join(homes, "c").where("n = _n").select("id", "n", "component")
-    return linked.union(all_.where("n = 0").select("id", "n", F.col("id")))
+    homes = homes.join(least, "root").select("c", F.col("n").alias("_n"), "component", "root")
+    linked = all_.where("n > 0").select("id", "n", "c").join(homes, "c").where("n = _n").select("id", "n", "component", "c", "root")
+    return linked.union(all_.where("n = 0").select("id", "n", F.col("id"), "c", "c"))
 
 
 def _named(found: DataFrame) -> DataFrame:
@@ -346,12 +357,21 @@ def op8_jaccard(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without all but one (of least doc_id) of each group that links connect; rows without words all stay."""
+    """The documents without all but one (of least doc_id, then of least class) of each group that links connect; rows without words all stay."""
     found = settle(_components(docs, words, percent, TASK_SHINGLES))
-    gone = found.where("id <> component").select("id").distinct()
-    stay = boxed(docs, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id")).join(_carry(gone, gone.count()), "id", "left_anti")
-    twice = found.where("id = component AND n > 0").groupBy("id").count().where("count > 1").select("id")
-    if twice.isEmpty():
-        return unboxed(stay)
-    single = stay.join(twice, "id", "left_anti")
-    return unboxed(single.select("id", "_row").union(stay.join(twice, "id", "left_semi").select("id", "_row").dropDuplicates(["id"])))
+    some = found.where("n > 0").select("id", "c", "root")
+    heads = some.groupBy("root").agg(F.min(F.struct("id", "c")).alias("h")).select("h.*")
+    lost = settle(some.select("id", "c").distinct().join(heads, ["id", "c"], "left_anti"))
+    several = settle(found.where(F.col("id") != NO_ID).groupBy("id").count().where("count > 1").select("id"))
+    n_lost, n_several = lost.count(), several.count()
+    rows = boxed(docs, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text")
+    known = rows.where(F.col("id") != NO_ID)
+    stay = known.join(_carry(several, n_several), "id", "left_anti").join(_carry(lost, n_lost), "id", "left_anti").select("_row")
+    # where an id does not tell the row, its class does
+    unsure = rows.where(F.col("id") == NO_ID).union(known.join(_carry(several, n_several), "id", "left_semi").select("_row", "id", "text"))
+    unsure = unsure.select("_row", "id", classed(F.col("text"), words).alias("c")).join(_carry(lost, n_lost), ["id", "c"], "left_anti")
+    twice = settle(some.groupBy("id", "c").count().where("count > 1").select("id", "c"))
+    n_twice = twice.count()
+    single = unsure.join(_carry(twice, n_twice), ["id", "c"], "left_anti").select("_row")
+    double = unsure.join(_carry(twice, n_twice), ["id", "c"], "left_semi").dropDuplicates(["id", "c"]).select("_row")
+    return unboxed(stay.union(single).union(double))

@@ -236,3 +236,15 @@ def test_shards_of_odd_tables(spark):
     for r in out.collect():
         weights[r.shard] += len(r.text) + 1
     assert len(weights) == -(-sum(weights.values()) // 8_000) and max(weights.values()) < 10_000
+
+
+def test_near_duplicates_are_dropped_by_row_not_by_id(spark):
+    text = lambda k, n=40: " ".join(f"w{k}x{i}" for i in range(n))
+    near = text("near")
+    rows = [
+        *((None, text(f"null{k}")) for k in range(5)), (None, text("null0")), (None, ""), (None, None), (None, ""),
+        (1, near), (2, near + " more"), (2, text("own")), (3, text("a")), (3, text("b")), (3, text("b")), (4, ""), (4, ""), (4, text("c")),
+    ]
+    out = jaccard.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [*((None, text(f"null{k}")) for k in range(5)), (None, ""), (None, None), (None, ""), (1, near), (2, text("own")), (3, text("a")), (3, text("b")), (4, ""), (4, ""), (4, text("c"))]
+    assert sorted(map(str, (tuple(r) for r in out))) == sorted(map(str, want))
