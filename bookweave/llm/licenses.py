@@ -1,8 +1,10 @@
 """Licence scans: sparse TF-IDF cosine to templates, then inheritance from the nearest directory above.
 
-Around each word that speaks of licences, the rest of its line (up to a window of words) is a segment. A
-segment and a template become sparse vectors of words and word pairs, weighed by how rare they are in all
-documents; the template of greatest cosine names the licence if it reaches the threshold. Files that have
+Around each word that speaks of licences, the rest of its line and of its paragraph (up to a window of
+words) are segments, met by short notices. Wherever words run as in a header block or licence text, across
+line ends and whatever the marks between, the whole stretch is a body, met by headers and full texts. A
+segment or body and a template become sparse vectors of words and word pairs, weighed by how rare they are in
+all documents; the template of greatest cosine names the licence if it reaches the threshold. Files that have
 no licence of their own take that of the nearest directory, their own first and then its ancestors, that
 holds a licence file with a known licence.
 
@@ -16,6 +18,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +28,11 @@ from pyspark.sql import functions as F
 from bookweave.llm import textkit
 from bookweave.llm.common import settle, word_count
 from bookweave.llm.decontamination import BREAK, tokens
+from bookweave.llm.license_texts import TEXTS
 
 THRESHOLD, BEFORE, AFTER = 0.5, 16, 32
+#: Words of a run that marks a body, words between two runs of one body, and covered words of the least body.
+SEED, GAP, LEAST = 5, 24, 8
 #: Directories up to which what they inherit travels to all tasks.
 CARRIED = 200_000
 # Usual notices of common licences.
@@ -50,6 +56,7 @@ TEMPLATES = [
 ]
 ANCHORS = "license licence licensed licenced licenses licences licensing copyright unlicense".split()
 FILES = r"(?i)(?:^|/)(?:licen[sc]e|copying|unlicense|notice)[^/]*$"
+BLANK = re.compile(rb"\n[^0-9A-Za-z\x80-\xff\n]*(?=\n)")
 TOKEN = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+")
 
 
@@ -63,47 +70,95 @@ def _hash_words(names: list[str]) -> np.ndarray:
     return np.concatenate(out)
 
 
-VOCABULARY = sorted({w for _, t in TEMPLATES for w in terms(t) if " " not in w})
-
-
-def segments(column: pa.Array) -> tuple[list[list[str]], list[list[int]]]:
-    """The segments of each text, and which words of the vocabulary it has."""
-    anchors, vocabulary = np.sort(_hash_words(ANCHORS)), _hash_words(VOCABULARY)
-    order = np.argsort(vocabulary)
+VOCABULARY = sorted({w for _, t in TEMPLATES + TEXTS for w in terms(t) if " " not in w})
+
+
+@cache
+def _keys() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the anchors, of the vocabulary (and its order), of the runs of words in header blocks and licence texts, and a filter for these."""
+    vocabulary = _hash_words(VOCABULARY)
+    seeds = [textkit.shingles(*tokens(data, offsets), SEED)[0] for _, _, data, offsets in textkit.runs(pa.array([t for _, t in TEXTS]))]
+    seeds = np.unique(np.concatenate(seeds))
+    maybe = np.zeros(1 << 20, bool)
+    maybe[(seeds >> np.uint64(44)).astype(np.int64)] = True
+    return np.sort(_hash_words(ANCHORS)), vocabulary, np.argsort(vocabulary), seeds, maybe
+
+
+def _bodies(word: np.ndarray, doc: np.ndarray) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """(first word, last word) of each body, and whether a word is covered by a run of one."""
+    _, _, _, seeds, maybe = _keys()
+    covered = np.zeros(len(word), bool)
+    n = len(word) - SEED + 1
+    if n <= 0:
+        return [], covered
+    rolled = word[:n] * textkit.STEP[0]
+    for i in range(1, SEED):
+        rolled += word[i : n + i] * textkit.STEP[i]
+    rolled = textkit.mix(rolled)
+    hit = np.flatnonzero(maybe[(rolled >> np.uint64(44)).astype(np.int64)] & (doc[:n] == doc[SEED - 1 :]))
+    hit = hit[np.isin(rolled[hit], seeds)]
+    for i in range(SEED):
+        covered[hit + i] = True
+    new = np.flatnonzero(np.r_[True, (np.diff(hit) > SEED + GAP) | (np.diff(doc[hit]) != 0)]) if len(hit) else np.zeros(0, np.int64)
+    out = []
+    for a, b in zip(hit[new], hit[np.r_[new[1:] - 1, len(hit) - 1]] + SEED if len(hit) else [], strict=True):
+        if covered[a:b].sum() >= LEAST:
+            out.append((int(a), int(b) - 1))
+        else:
+            covered[a:b] = False
+    return out, covered
+
+
+def segments(column: pa.Array) -> tuple[list[list[str]], list[list[str]], list[float], list[list[int]]]:
+    """The segments and bodies of each text, the share of its words that bodies cover, and which words of the vocabulary it has."""
+    anchors, vocabulary, order, _, _ = _keys()
     found: list[list[str]] = []
+    long: list[list[str]] = []
+    share: list[float] = []
     words: list[list[int]] = []
     for _, _, data, offsets in textkit.runs(column):
         starts, ends, first = textkit.spans(BREAK[data], offsets)
         word = textkit.hashes(textkit.FOLD[data], starts, ends)
         doc = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
         known = np.flatnonzero(np.isin(word, vocabulary))
-        pairs = np.unique(np.column_stack([doc[known], order[np.searchsorted(vocabulary, word[known], sorter=order)]]), axis=0)
-        by = np.searchsorted(pairs[:, 0], np.arange(len(offsets)))
-        words += [pairs[a:b, 1].tolist() for a, b in zip(by, by[1:], strict=False)]
+        pairs = np.unique(doc[known] * len(vocabulary) + order[np.searchsorted(vocabulary, word[known], sorter=order)])
+        by = np.searchsorted(pairs, np.arange(len(offsets)) * len(vocabulary))
+        words += [(pairs[a:b] % len(vocabulary)).tolist() for a, b in zip(by, by[1:], strict=False)]
         some: list[list[str]] = [[] for _ in range(len(offsets) - 1)]
+        whole: list[list[str]] = [[] for _ in range(len(offsets) - 1)]
+        places, covered = _bodies(word, doc)
+        for a, b in places:
+            whole[doc[a]].append(data[starts[a] : ends[b]].tobytes().decode("utf-8", "replace"))
+        total = np.r_[0, np.cumsum(covered)]
+        share += ((total[first[1:]] - total[first[:-1]]) / np.maximum(np.diff(first), 1)).tolist()
         past = 0  # the end of the last segment
         for i in np.flatnonzero(np.isin(word, anchors)).tolist():
             d = int(doc[i])
             a, b = starts[max(first[d], i - BEFORE)], ends[min(first[d + 1] - 1, i + AFTER)]
             if starts[i] < past:
                 continue
-            raw = data[a:b].tobytes()
-            left = raw.rfind(b"\n", 0, starts[i] - a) + 1
-            right = raw.find(b"\n", starts[i] - a)
-            raw = raw[left:] if right < 0 else raw[left:right]
-            past = a + left + len(raw)
-            some[d].append(raw.decode("utf-8", "replace"))
+            raw, at = data[a:b].tobytes(), int(starts[i] - a)
+            left = raw.rfind(b"\n", 0, at) + 1
+            right = raw.find(b"\n", at)
+            line = raw[left:] if right < 0 else raw[left:right]
+            past = a + left + len(line)
+            some[d].append(line.decode("utf-8", "replace"))
+            breaks = [m.end() for m in BLANK.finditer(raw)]
+            paragraph = raw[max((x for x in breaks if x <= at), default=0) : min((x for x in breaks if x > at), default=len(raw))].decode("utf-8", "replace")
+            if len(terms(paragraph)) > len(terms(some[d][-1])):
+                some[d].append(paragraph)
         found += some
-    return found, words
+        long += whole
+    return found, long, share, words
 
 
 class Matcher:
     """Sparse vectors of the templates under given document frequencies of words."""
 
-    def __init__(self, documents: int, frequency: dict[str, int]):
+    def __init__(self, documents: int, frequency: dict[str, int], texts: list[tuple[str, str]]):
         self.idf = lambda t: min(1 + math.log((1 + documents) / (1 + frequency.get(w, 0))) for w in t.split(" ")) if " " not in t else max(1 + math.log((1 + documents) / (1 + frequency.get(w, 0))) for w in t.split(" "))
-        self.known = {t for _, text in TEMPLATES for t in terms(text)}
-        self.templates = [(name, self.vector(text)) for name, text in TEMPLATES]
+        self.known = {t for _, text in texts for t in terms(text)}
+        self.templates = [(name, self.vector(text)) for name, text in texts]
 
     def vector(self, text: str) -> dict[str, float]:
         v = {t: n * self.idf(t) for t, n in terms(text).items() if t in self.known}
@@ -122,12 +177,12 @@ class Matcher:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """Adds _m: the segments and vocabulary words of each whole text."""
+    """Adds _m: the segments, bodies, share of words in bodies, and vocabulary words of each whole text."""
 
-    @F.arrow_udf("struct<segments:array<string>,words:array<int>>")
+    @F.arrow_udf("struct<segments:array<string>,bodies:array<string>,share:double,words:array<int>>")
     def scanned(text: pa.Array) -> pa.Array:
-        found, words = segments(text)
-        return pa.StructArray.from_arrays([pa.array(found, pa.list_(pa.string())), pa.array(words, pa.list_(pa.int32()))], ["segments", "words"])
+        found, long, share, words = segments(text)
+        return pa.StructArray.from_arrays([pa.array(found, pa.list_(pa.string())), pa.array(long, pa.list_(pa.string())), pa.array(share, pa.float64()), pa.array(words, pa.list_(pa.int32()))], ["segments", "bodies", "share", "words"])
 
     return docs.withColumn("_m", scanned(F.col("text").cast("string")))
 
@@ -156,12 +211,15 @@ def scan(docs: DataFrame, path: Column, threshold: float = THRESHOLD) -> DataFra
     total = rows.count()
 
     @F.arrow_udf("struct<license:string,score:double>")
-    def matched(found: pa.Array) -> pa.Array:
-        match = Matcher(total, frequency)
-        best = [match.best(x) if x else (None, 0.0) for x in found.to_pylist()]
+    def matched(found: pa.Array, long: pa.Array) -> pa.Array:
+        notices, texts = Matcher(total, frequency, TEMPLATES), Matcher(total, frequency, TEXTS) if any(long.to_pylist()) else None
+        best = []
+        for x, y in zip(found.to_pylist(), long.to_pylist(), strict=True):
+            pairs = (notices.best(x) if x else (None, 0.0), texts.best(y) if y else (None, 0.0))
+            best.append(max(pairs, key=lambda b: round(b[1], 9)))
         return pa.StructArray.from_arrays([pa.array([b[0] if b[1] >= threshold else None for b in best], pa.string()), pa.array([round(b[1], 9) for b in best], pa.float64())], ["license", "score"])
 
-    own = settle(rows.withColumn("b", matched("_m.segments")).select("doc_id", "path", "b.license", "b.score"))
+    own = settle(rows.withColumn("b", matched("_m.segments", "_m.bodies")).select("doc_id", "path", "b.license", "b.score"))
     found = inherit(own)
     origin = F.when(F.col("license").isNotNull(), "own").when(F.col("inherited").isNotNull(), "inherited")
     from_ = F.when(F.col("license").isNull(), F.col("inherited_from"))

@@ -107,3 +107,22 @@ def test_licenses_against_brute_force(spark):
         if not own[r.doc_id]:
             assert got[r.doc_id].license == homes.get((r.source, r.lang))
     assert licenses.op9_licenses(docs.limit(0)).collect() == []
+
+
+def test_licence_bodies_and_wrapped_headers(spark):
+    full = {}
+    for name, text in licenses.TEXTS:
+        full[name] = max(full.get(name, ""), text, key=len)
+    cases = [
+        ("MIT", "Copyright (c) 2020 A. Body\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software"),
+        ("GPL-2.0", "/*\n * This program is free software; you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation; either version 2 of the License, or\n * (at your option) any later version.\n */\nint main;"),
+        ("GPL-3.0", "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.\ncode"),
+        ("LGPL-2.1", " * This library is free software; you can redistribute it and/or\n * modify it under the terms of the GNU Lesser General Public\n * License as published by the Free Software Foundation; either\n * version 2.1 of the License, or (at your option) any later version.\n"),
+        ("MPL-2.0", "// This Source Code Form is subject to the terms of the Mozilla Public\n// License, v. 2.0. If a copy of the MPL was not distributed with this\n// file, You can obtain one at https://mozilla.org/MPL/2.0/.\ncode"),
+        ("Apache-2.0", "x\n\n# Licensed under the Apache\n# License, Version\n# 2.0\n\ncode"),
+        *((name, "Copyright (c) 2021 Some Body\n\n" + text + "\nmore code") for name, text in full.items()),
+        (None, "Under the terms of the treaty both sides, to the extent permitted by law, went on in any way they liked. " * 3),
+    ]
+    docs = spark.createDataFrame([(i, f"{i}/a.c", t) for i, (_, t) in enumerate(cases)], "doc_id long, p string, text string")
+    got = {r.doc_id: r.license for r in licenses.scan(docs, F.col("p")).collect()}
+    assert [got[i] for i in range(len(cases))] == [name for name, _ in cases]
