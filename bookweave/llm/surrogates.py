@@ -10,7 +10,12 @@ codes and top-level domains stay. One entity has one surrogate everywhere, howev
 All distinct entities meet in a collision check: where a surrogate equals its original, another
 original of its type or the surrogate of a lesser entity, the entity is keyed anew, until none does.
 If six rounds don't free a type of clashes with originals (its format is nearly used up), only
-distinct surrogates that differ from their own original are asked for. The key is a parameter.
+distinct surrogates that differ from their own original are asked for. A format that still clashes after
+all rounds is turned as a whole: each letter and digit moves on by a keyed step within its kind, so distinct
+originals of the format stay distinct. Secrets without a letter or digit become ``*`` of the same length; only
+they may be equal to each other or to their original, with names and mails in scripts that have no kinds
+here (their letters become Latin ones) where even the turned format leaves no other value. The key is a
+parameter.
 
 Null texts stay null; texts without entities stay as they are; equal texts become equal. Of overlapping
 matches the leftmost counts. Extra columns pass through. An empty table gives no rows.
@@ -33,7 +38,9 @@ GIVEN = {
     "GIVEN_CF": "Анна Мария Ольга Елена Наталья Татьяна Ирина Светлана".split(),
 }
 #: Letters that stand for each other: vowels and consonants of a script.
-KINDS = ["aeiou", "bcdfghjklmnpqrstvwxyz", "áéíóúàèìòùâêîôûäëïöü", "çñß", "аеиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "αεηιουω", "βγδζθκλμνξπρστφχψ", "0123456789"]
+KINDS = ["aeiou", "bcdfghjklmnpqrstvwxyz", "áéíóúàèìòùâêîôûäëïöü", "çñß", "аеиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "αεηιουω", "βγδζθκλμνξπρστφχψ", "0123456789", "āăąēĕėęěīĭįōŏőøæœūŭůűųýÿãõåı", "ćĉċčďđĝğġģĥħĵķĺļľłńņňŕŗřśŝşšţťŧŵźżžðþ", "ёіїєўъьґђјљњћџ", "άέήίόύώς"]
+#: Scripts without case whose letters stand for each other, by code points: Hebrew, Arabic (two runs), Devanagari, Thai, Georgian, Hiragana, Katakana, Han, Hangul.
+RANGES = [(0x5D0, 0x5EA), (0x621, 0x63A), (0x641, 0x64A), (0x905, 0x939), (0xE01, 0xE2E), (0x10D0, 0x10F0), (0x3041, 0x3096), (0x30A1, 0x30FA), (0x3400, 0x4DBF), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3)]
 
 EMAIL = r"[\p{L}0-9._%+-]+@[\p{L}0-9-]+(?:\.[\p{L}0-9-]+)*\.\p{L}{2,}"
 AWS = r"\bAKIA[0-9A-Z]{16}\b"
@@ -115,20 +122,69 @@ def _luhn(digits: Column) -> Column:
     return F.pmod(F.lit(10) - F.pmod(total, F.lit(10)), F.lit(10))
 
 
-def _letters(key: str, text: Column, *keys: Column, kinds: list[str] = KINDS) -> Column:
-    """Every letter and digit becomes one of the same kind and case."""
+def _char(code: Column) -> Column:
+    """The character of a code point below 65536."""
+    return F.decode(F.unhex(F.lpad(F.hex(code.cast("long")), 4, F.lit("0"))), "UTF-16BE")
+
+
+def _each(text: Column, step, kinds: list[str] = KINDS, other=lambda c, low: c) -> Column:
+    """Every letter and digit becomes the one that step(place in its kind, size of the kind, place in the text) names."""
 
     def one(c: Column, i: Column) -> Column:
-        low = F.lower(c)
-        out = c
-        for letters in kinds:
-            pick = F.substr(F.lit(letters), (_draw(key, F.lit(len(letters)), i, *keys) + 1).cast("int"), F.lit(1))
+        low, code = F.lower(c), F.ascii(c)
+        rest = other(c, low)
+        for a, b in RANGES:
+            rest = F.when(code.between(a, b), _char(step(code - a, b - a + 1, i) + a)).otherwise(rest)
+        out = F.when(c.rlike(r"\p{L}"), rest).otherwise(c)
+        for letters in reversed(kinds):
+            pick = F.substr(F.lit(letters), (step(F.position(low, F.lit(letters)) - 1, len(letters), i) + 1).cast("int"), F.lit(1))
             out = F.when(F.lit(letters).contains(low), F.when(c == low, pick).otherwise(F.upper(pick))).otherwise(out)
         return out
 
     return F.array_join(F.transform(F.split(text, ""), one), "")
 
 
+def _letters(key: str, text: Column, *keys: Column, kinds: list[str] = KINDS) -> Column:
+    """Every letter and digit becomes one of the same kind and case; letters without a kind become Latin ones."""
+
+    def latin(c: Column, low: Column) -> Column:
+        pick = F.substr(F.lit(KINDS[1]), (_draw(key, F.lit(len(KINDS[1])), F.lit("other"), c, *keys) + 1).cast("int"), F.lit(1))
+        return F.when(c == low, pick).otherwise(F.upper(pick))
+
+    return _each(text, lambda place, size, i: _draw(key, F.lit(size), i, *keys), kinds, latin)
+
+
+def _format(text: Column) -> Column:
+    """What all texts share that differ only in letters and digits of like kinds and cases."""
+    return _each(text, lambda place, size, i: F.lit(0))
+
+
+def _turned(key: str, type_: Column, text: Column) -> Column:
+    """text with each letter and digit moved on within its kind; a permutation of each format without fixed points."""
+    return _each(text, lambda place, size, i: F.pmod(place + 1 + _draw(key, F.lit(size - 1), F.lit("turn"), type_, i), F.lit(size)))
+
+
+#: What stays of a secret, key or account, and what is replaced.
+_HIDDEN = r"""^((?:AKIA|[^=:]*[=:]\s*["']?|[A-Z]{2}))(.*)$"""
+
+
+def masked(type_: Column, entity: Column) -> Column:
+    """Whether a secret has nothing that is replaced by its like."""
+    return (type_ == "SECRET") & ~F.regexp_extract(entity, _HIDDEN, 2).rlike(r"[\p{L}0-9]")
+
+
+def _mask(entity: Column) -> Column:
+    return F.concat(F.regexp_extract(entity, _HIDDEN, 1), F.repeat(F.lit("*"), F.length(F.regexp_extract(entity, _HIDDEN, 2))))
+
+
+def _parts(type_: Column, entity: Column) -> tuple[Column, Column, Column]:
+    """What stays before, what is turned, what stays after."""
+    hidden, mail = type_.isin("SECRET", "AWS", "IBAN"), type_ == "EMAIL"
+    head = F.when(hidden, F.regexp_extract(entity, _HIDDEN, 1)).otherwise("")
+    tail = F.when(mail, F.regexp_extract(entity, r"(\.[^.]*)$", 1)).otherwise("")
+    return head, F.substr(entity, F.length(head) + 1, F.length(entity) - F.length(head) - F.length(tail)), tail
+
+
 def surrogate(key: str, type_: Column, entity: Column, turn: Column) -> Column:
     """The surrogate of an entity in the turn-th keying, written as its identity is."""
     base = F.substr(entity, F.lit(1), F.length(entity) - 1)
@@ -140,10 +196,9 @@ def surrogate(key: str, type_: Column, entity: Column, turn: Column) -> Column:
     dotted = F.concat_ws(".", *(F.floor(address[h] / d).cast("long") % 256 for h in ("l", "r") for d in (256, 1)))
     domain = F.regexp_extract(entity, r"@(.*)\.[^.]*$", 1)
     mail = F.concat(_letters(key, F.regexp_extract(entity, "^([^@]*)@", 1), F.lit("local"), entity, turn), F.lit("@"), _letters(key, domain, F.lit("domain"), domain, F.lit(0)), F.regexp_extract(entity, r"(\.[^.]*)$", 1))
-    secret = r"""^((?:AKIA|[^=:]*[=:]\s*["']?|[A-Z]{2}))(.*)$"""
-    value = F.regexp_extract(entity, secret, 2)
+    value = F.regexp_extract(entity, _HIDDEN, 2)
     hidden = F.when(value.rlike("^[0-9a-f]+$"), _letters(key, value, type_, entity, turn, kinds=["abcdef", "0123456789"])).otherwise(_letters(key, value, type_, entity, turn))
-    hidden = F.concat(F.regexp_extract(entity, secret, 1), hidden)
+    hidden = F.concat(F.regexp_extract(entity, _HIDDEN, 1), hidden)
     found = F.when(type_ == "CARD", F.concat(body, last.cast("string"))).when(type_.isin("PHONE", "SSN"), _digits(key, type_, entity, turn))
     found = found.when(type_ == "IPV4", dotted).when(type_ == "EMAIL", mail).when(type_.isin("SECRET", "AWS", "IBAN"), hidden)
     for name, names in GIVEN.items():
@@ -170,6 +225,10 @@ def written(type_: Column, raw: Column, value: Column) -> Column:
 
 def settle_collisions(entities: DataFrame, key: str, rounds: int = 20, strict: int = 6) -> DataFrame:
     """entities: distinct type, entity. Adds value, distinct within each type and unlike its original (and, in the first rounds, unlike any)."""
+    entities = settle(entities.select("type", "entity"))
+    type_, entity = F.col("type"), F.col("entity")
+    fixed = entities.where(masked(type_, entity)).select("type", "entity", _mask(entity).alias("value"))
+    entities = entities.where(~masked(type_, entity))
     rows = settle(entities.withColumn("turn", F.lit(0)).withColumn("value", surrogate(key, F.col("type"), F.col("entity"), F.col("turn"))).withColumn("free", F.lit(False)))
     for turn in range(1, rounds + 1):
         originals = rows.select(F.col("type").alias("_t"), F.col("entity").alias("_e"))
@@ -181,10 +240,15 @@ def settle_collisions(entities: DataFrame, key: str, rounds: int = 20, strict: i
             clash = clash | F.col("_e").isNotNull()
         checked = settle(met.select("type", "entity", "turn", "value", (~clash).alias("free")))
         if checked.where("NOT free").isEmpty():
-            return checked.select("type", "entity", "value")
+            return checked.select("type", "entity", "value").union(fixed)
         again = checked.where("NOT free").withColumn("turn", F.lit(turn)).withColumn("value", surrogate(key, F.col("type"), F.col("entity"), F.col("turn")))
         rows = settle(checked.where("free").union(again))
-    raise RuntimeError("surrogates still collide; the formats of these entities are used up")
+    head, middle, tail = _parts(type_, entity)
+    shaped = settle(checked.select("type", "entity", "value", "free", F.md5(F.concat_ws("\x1f", head, _format(middle), tail)).alias("_shape")))
+    tight = shaped.where("NOT free").select("type", "_shape").distinct()
+    easy = shaped.join(tight, ["type", "_shape"], "left_anti").select("type", "entity", "value")
+    turned = shaped.join(tight, ["type", "_shape"], "left_semi").select("type", "entity", F.concat(head, _turned(key, type_, middle), tail).alias("value"))
+    return easy.union(turned).union(fixed)
 
 
 def replace_entities(docs: DataFrame, key: str = "example-key") -> DataFrame:

@@ -126,3 +126,26 @@ def test_licence_bodies_and_wrapped_headers(spark):
     docs = spark.createDataFrame([(i, f"{i}/a.c", t) for i, (_, t) in enumerate(cases)], "doc_id long, p string, text string")
     got = {r.doc_id: r.license for r in licenses.scan(docs, F.col("p")).collect()}
     assert [got[i] for i in range(len(cases))] == [name for name, _ in cases]
+
+
+def test_surrogates_settle_where_nothing_can_be_drawn(spark):
+    texts = ["password: ******** end", "token = ...... end", "pwd=!?%&!?% end", "mail 王小明@例子.公司 end", "mail محمد@مثال.شبكة end", "Mr. Łęćki and Mr. Wałęsa", "mail ቀበተ@ነገረ.com end"]
+    out = {r.doc_id: r.text for r in surrogates.replace_entities(frame(spark, enumerate(texts))).collect()}
+    assert [out[i] for i in range(3)] == ["password: ******** end", "token = ****** end", "pwd=******* end"]
+    for i in (3, 4, 6):
+        assert re.fullmatch(r"mail [^@ ]+@[^@ ]+\.\w+ end", out[i]) and len(out[i]) == len(texts[i])
+        assert not set(texts[i].split("@")[0][5:]) & set(out[i].split("@")[0][5:]) or out[i].split("@")[0] != texts[i].split("@")[0]
+    assert re.fullmatch(r"mail [\u4e00-\u9fa5]{3}@[\u4e00-\u9fa5]{2}\.公司 end", out[3])
+    names = re.fullmatch(r"Mr\. (\w{5}) and Mr\. (\w{6})", out[5])
+    assert not any(a == b for a, b in zip("łę", names[1].lower(), strict=False)) or names[1] != "Łęćki"
+
+
+def test_surrogates_of_a_used_up_format(spark):
+    names = [c + v for c in surrogates.KINDS[1] for v in surrogates.KINDS[0]] + [c + v + "n" for c in "bcd" for v in "ae"]
+    mails = [f"{v}@{d}.de" for v in surrogates.KINDS[0] for d in ("ab", "ec", "ib")]
+    rows = [("NAME", n) for n in names] + [("EMAIL", m) for m in mails] + [("SECRET", "token=......")]
+    for rounds in (1, 20):
+        out = surrogates.settle_collisions(spark.createDataFrame(rows, "type string, entity string"), "k", rounds).collect()
+        assert sorted((r.type, r.entity) for r in out) == sorted(rows)
+        assert len({(r.type, r.value) for r in out}) == len(rows) and all(r.value != r.entity for r in out)
+        assert all(len(r.value) == len(r.entity) for r in out)
