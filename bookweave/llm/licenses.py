@@ -33,6 +33,8 @@ from bookweave.llm.license_texts import TEXTS
 THRESHOLD, BEFORE, AFTER = 0.5, 16, 32
 #: Words of a run that marks a body, words between two runs of one body, and covered words of the least body.
 SEED, GAP, LEAST = 5, 24, 8
+#: Share of a document's words in bodies from which it is a licence file.
+COVERED = 0.5
 #: Directories up to which what they inherit travels to all tasks.
 CARRIED = 200_000
 # Usual notices of common licences.
@@ -227,8 +229,9 @@ def scan(docs: DataFrame, path: Column, threshold: float = THRESHOLD) -> DataFra
 
 
 def document_path() -> Column:
-    """A path for rows of documents: source, language, and a licence file's name where the text is little more than a notice."""
-    name = F.when((F.size("_m.segments") > 0) & (F.col("n_words") <= 24), F.concat(F.lit("LICENSE-"), F.col("doc_id").cast("string"))).otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    """A path for rows of documents: source, language, and a licence file's name where the text is little more than a notice, or bodies cover half of it, however long it is."""
+    notice = (F.size("_m.segments") > 0) & (F.col("n_words") <= 24)
+    name = F.when(notice | (F.col("_m.share") >= COVERED), F.concat(F.lit("LICENSE-"), F.col("doc_id").cast("string"))).otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
     return F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")), name)
 
 

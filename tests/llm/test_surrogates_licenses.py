@@ -149,3 +149,10 @@ def test_surrogates_of_a_used_up_format(spark):
         assert sorted((r.type, r.entity) for r in out) == sorted(rows)
         assert len({(r.type, r.value) for r in out}) == len(rows) and all(r.value != r.entity for r in out)
         assert all(len(r.value) == len(r.entity) for r in out)
+
+
+def test_full_licence_texts_pass_their_licence_on(spark):
+    full = {name: max((t for n, t in licenses.TEXTS if n == name), key=len) for name in ("MIT", "GPL-3.0")}
+    docs = [(1, full["MIT"], "en", "a"), (2, "plain words", "en", "a"), (3, full["GPL-3.0"], "en", "b"), (4, "plain words", "en", "b"), (5, full["MIT"] + " other words" * 400, "en", "c"), (6, "plain words", "en", "c")]
+    got = {r.doc_id: (r.license, r.origin) for r in licenses.op9_licenses(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")).collect()}
+    assert got == {1: ("MIT", "own"), 2: ("MIT", "inherited"), 3: ("GPL-3.0", "own"), 4: ("GPL-3.0", "inherited"), 5: ("MIT", "own"), 6: (None, None)}
