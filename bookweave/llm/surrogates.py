@@ -44,7 +44,8 @@ RANGES = [(0x5D0, 0x5EA), (0x621, 0x63A), (0x641, 0x64A), (0x905, 0x939), (0xE01
 
 EMAIL = r"[\p{L}0-9._%+-]+@[\p{L}0-9-]+(?:\.[\p{L}0-9-]+)*\.\p{L}{2,}"
 AWS = r"\bAKIA[0-9A-Z]{16}\b"
-SECRET = r"""(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3})["']?[^\s"']{6,}"""
+# What stands before the key word (client_secret, DB_PASSWORD) stays outside of the match.
+SECRET = r"""(?i:(?:password|passwd|pwd|secret|token|api[_-]?key)["']?\s{0,3}[=:]\s{0,3})["']?[^\s"']{6,}"""
 IPV4 = r"\b(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\b"
 IBAN = r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"
 SSN = r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b"

@@ -156,3 +156,12 @@ def test_full_licence_texts_pass_their_licence_on(spark):
     docs = [(1, full["MIT"], "en", "a"), (2, "plain words", "en", "a"), (3, full["GPL-3.0"], "en", "b"), (4, "plain words", "en", "b"), (5, full["MIT"] + " other words" * 400, "en", "c"), (6, "plain words", "en", "c")]
     got = {r.doc_id: (r.license, r.origin) for r in licenses.op9_licenses(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")).collect()}
     assert got == {1: ("MIT", "own"), 2: ("MIT", "inherited"), 3: ("GPL-3.0", "own"), 4: ("GPL-3.0", "inherited"), 5: ("MIT", "own"), 6: (None, None)}
+
+
+def test_secrets_after_a_prefix_or_in_json(spark):
+    texts = ["client_secret=ab12cd34ef x", "access_token: ab12cd34ef x", "DB_PASSWORD=Hunter2hunter x", '{"password": "ab12cd34ef", "n": 1}', "{'api-key':'ab12cd34ef'}", '{"my-secret" : "ab12cd34ef"}']
+    out = {r.doc_id: r for r in surrogates.replace_entities(frame(spark, enumerate(texts))).collect()}
+    forms = [r"client_secret=(\w{10}) x", r"access_token: (\w{10}) x", r"DB_PASSWORD=([A-Z][a-z]{5}\d[a-z]{6}) x", r'\{"password": "(\w{10})", "n": 1\}', r"\{'api-key':'(\w{10})'\}", r'\{"my-secret" : "(\w{10})"\}']
+    for i, form in enumerate(forms):
+        new = re.fullmatch(form, out[i].text)
+        assert new and new[1] not in texts[i] and out[i].n_entities == 1
