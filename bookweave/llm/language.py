@@ -144,71 +144,6 @@ def train(x: np.ndarray, y: np.ndarray, langs: list[str], rounds: int = 150, dec
     return Model(langs, code, weights.astype(float), (w[-1] - centre @ weights).astype(float), np.maximum(1 - 2 * wrong, 0.05))
 
 
-def predict(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(index of the language, score, ambiguous) of each text."""
-        best, score, close = np.zeros(len(column), int), np.ones(len(column)), np.zeros(len(column), bool)
-        if len(self.langs) > 1:
-            for a, b, shares in grams(column):
-                loss = self.losses(shares)
-                low = np.sort(loss, 1)
-                best[a:b] = loss.argmin(1)
-                score[a:b] = 1 / np.exp(np.clip(loss.min(1, keepdims=True) - loss, -50, 0)).sum(1)
-                close[a:b] = low[:, 1] - low[:, 0] < 0.1 * self.trust.sum()
-        return best, score, close
-
-
-def fit(docs: DataFrame, sample: int = 4000, rounds: int = 150, decay: float = 1e-4) -> Model:
-    """Learns from about ``sample`` texts, the same share of ids of each language, from rows that are neither held out nor without a language; that many sparse vectors reach the driver."""
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = {r[0]: r[1] for r in known.groupBy("lang").count().collect()}  # a row for each language
-    langs = sorted(counts)
-    if len(langs) < 2:
-        return Model(langs, np.zeros((len(langs), 0)), np.zeros((WIDTH, 0)), np.zeros(0), np.zeros(0))
-    share = F.lit(0.0)
-    for lang in langs:
-        share = F.when(F.col("lang") == lang, F.lit(sample / len(langs) / counts[lang])).otherwise(share)
-    picked = known.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 20)) < share * (1 << 20))
-
-    @F.arrow_udf("struct<at:array<int>,x:array<float>>")
-    def sparse(text: pa.Array) -> pa.Array:
-        at, x = [], []
-        for _, _, shares in grams(text):
-            for row in shares:
-                at.append(np.flatnonzero(row).astype(np.int32))
-                x.append(row[at[-1]].astype(np.float32))
-        return pa.StructArray.from_arrays([pa.array(at, pa.list_(pa.int32())), pa.array(x, pa.list_(pa.float32()))], ["at", "x"])
-
-    rows = picked.orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(2 * sample).select("lang", sparse("text").alias("v")).toArrow()
-    x = np.zeros((rows.num_rows, WIDTH), np.float32)
-    v = rows.column("v").combine_chunks()
-    ends = np.cumsum([0, *(len(a) for a in v.field("at"))])
-    x[np.repeat(np.arange(rows.num_rows), np.diff(ends)), v.field("at").flatten().to_numpy()] = v.field("x").flatten().to_numpy()
-    y = np.array([langs.index(a) for a in rows.column("lang").to_pylist()], int)
-    return train(x, y, langs, rounds, decay)
-
-
-def train(x: np.ndarray, y: np.ndarray, langs: list[str], rounds: int = 150, decay: float = 1e-4) -> Model:
-    """One logistic classifier for each bit, all at once, by accelerated gradient steps; x is changed in place."""
-    code = codewords(len(langs))
-    present = np.bincount(y, minlength=len(langs))
-    each = (1 / np.maximum(present, 1))[y].astype(np.float32)
-    each *= len(y) / max(each.sum(), 1e-9)
-    scale = 1 / np.maximum(x.std(0), 1e-4)
-    centre = x.mean(0)
-    z = (x - centre) * scale
-    goal = code[y].astype(np.float32)
-    w = np.zeros((x.shape[1] + 1, code.shape[1]), np.float32)
-    z = np.hstack([z, np.ones((len(z), 1), np.float32)]).astype(np.float32)
-    look, step = w.copy(), 4.0 * len(z) / max(float(np.square(z).sum(1).mean()), 1.0) / max(len(z), 1)
-    for i in range(rounds):
-        slope = -z.T @ (goal * each[:, None] / (1 + np.exp(np.clip((z @ look) * goal, -30, 30)))) / max(len(z), 1) + decay * look
-        new = look - step * slope
-        look, w = new + i / (i + 3) * (new - w), new
-    wrong = (((z @ w) * goal <= 0) * each[:, None]).mean(0) if len(z) else np.zeros(code.shape[1])
-    weights = w[:-1] * scale[:, None]
-    return Model(langs, code, weights.astype(float), (w[-1] - centre @ weights).astype(float), np.maximum(1 - 2 * wrong, 0.05))
-
-
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """Adds lang_pred, score and ambiguous to docs, in place of columns of these names."""
     langs = np.array([*model.langs, "und"], object)

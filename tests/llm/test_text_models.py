@@ -121,3 +121,12 @@ def test_codewords_part_every_two_languages():
     for k in (2, 3, 4, 5, 8, 30):
         code = language.codewords(k)
         assert len({tuple(r) for r in code}) == k and (np.abs(code.sum(0)) < k).all()
+
+
+def test_language_functions_are_defined_once():
+    import ast
+    import inspect
+
+    names = [n.name for n in ast.parse(inspect.getsource(language)).body if isinstance(n, (ast.FunctionDef, ast.ClassDef))]
+    assert len(names) == len(set(names))
+    assert list(inspect.signature(language.predict).parameters) == ["docs", "model"]
