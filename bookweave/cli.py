@@ -1,4 +1,4 @@
-"""Command line: ``run`` brings tasks to an end; ``delta`` codes, decodes, inspects, verifies and evaluates books; ``transfer`` codes folders."""
+"""Command line: ``run`` brings tasks to an end; ``daily`` does so for the days before one, codes and copies the books; ``delta`` codes, decodes, inspects, verifies and evaluates books; ``transfer`` codes folders."""
 
 from __future__ import annotations
 
@@ -22,15 +22,27 @@ def parser() -> argparse.ArgumentParser:
     which.add_argument("--target-file")
     run.add_argument("--start", type=date.fromisoformat, default=date(2024, 1, 1))
     run.add_argument("--end", type=date.fromisoformat, default=date.today())
-    run.add_argument("--workers", default="*")
-    run.add_argument("--dl-concurrency", type=int, default=4)
-    run.add_argument("--dl-retries", type=int, default=5)
-    run.add_argument("--raw-root", default="data/raw")
-    run.add_argument("--parquet-root", default="data/parquet")
-    run.add_argument("--ledger-root", default="data/ledger")
-    run.add_argument("--summary-csv")
-    run.add_argument("--raw-max-gb", type=float, default=70)
-    run.add_argument("--retry-delay-secs", type=float, default=60)
+    day = commands.add_parser("daily", help="the days before a date: fetch, replay, code, copy, clean up")
+    day.add_argument("--symbol", action="append", required=True)
+    day.add_argument("--run-date", type=date.fromisoformat, default=date.today())
+    day.add_argument("--lookback-days", type=int, default=3)
+    day.add_argument("--transfer-root", default="data/transfer")
+    day.add_argument("--copy-books")
+    day.add_argument("--copy-blobs")
+    day.add_argument("--copy-logs")
+    day.add_argument("--clean", action="store_true", help="delete the round's books and blobs once copied")
+    day.add_argument("--verify", action="store_true")
+    day.add_argument("--zstd-level", type=int, default=19)
+    for one in (run, day):
+        one.add_argument("--workers", default="*")
+        one.add_argument("--dl-concurrency", type=int, default=4)
+        one.add_argument("--dl-retries", type=int, default=5)
+        one.add_argument("--raw-root", default="data/raw")
+        one.add_argument("--parquet-root", default="data/parquet")
+        one.add_argument("--ledger-root", default="data/ledger")
+        one.add_argument("--summary-csv")
+        one.add_argument("--raw-max-gb", type=float, default=70)
+        one.add_argument("--retry-delay-secs", type=float, default=60)
     delta = commands.add_parser("delta", help="the delta format").add_subparsers(dest="action", required=True)
     for name in ("encode", "decode", "inspect", "verify", "evaluate"):
         one = delta.add_parser(name)
@@ -127,11 +139,15 @@ def main(argv: list[str] | None = None, fetch: daily.Fetch = daily.fetch_http) -
             print(" ".join(f"{k}={v}" for k, v in delta(args).items()))
             return 0
         spark = local_session(args.workers)
-        todo = wanted(spark, args)
         config = daily.Config(args.raw_root, args.parquet_root, args.ledger_root, args.dl_concurrency, args.dl_retries, retry_delay_s=args.retry_delay_secs, raw_max_bytes=int(args.raw_max_gb * (1 << 30)))
-        report = daily.run(spark, todo, config, fetch)
-        if args.summary_csv:
-            daily.write_summary(spark, todo, config, args.summary_csv)
+        if args.command == "daily":
+            copies = {kind: to for kind in ("books", "blobs", "logs") if (to := getattr(args, f"copy_{kind}"))}
+            report = daily.daily(spark, list(dict.fromkeys(args.symbol)), args.run_date, args.lookback_days, config, args.transfer_root, fetch, copies, args.summary_csv, args.clean, args.zstd_level, args.verify)
+        else:
+            todo = wanted(spark, args)
+            report = daily.run(spark, todo, config, fetch)
+            if args.summary_csv:
+                daily.write_summary(spark, todo, config, args.summary_csv)
     except (ValueError, OSError) as e:
         print(f"error: {e}", file=sys.stderr)
         return 1

@@ -29,9 +29,9 @@ def schema_errors(df: DataFrame, depth: int = 20) -> list[str]:
     out = []
     for field in book_schema(depth):
         if field.name not in have:
-            out.append(f"missing required column {field.name}")
+            out.append(f"the table lacks {field.name}")
         elif have[field.name] != field.dataType:
-            out.append(f"column {field.name} has type {have[field.name].simpleString()}, expected {field.dataType.simpleString()}")
+            out.append(f"{field.name} is {have[field.name].simpleString()}, not {field.dataType.simpleString()}")
     return out
 
 
@@ -40,7 +40,7 @@ def require_book(df: DataFrame, depth: int = 20) -> DataFrame:
     errors = schema_errors(df, depth)
     if errors:
         raise ValueError("; ".join(errors))
-    ok = F.coalesce(F.col("timestamp_ms"), F.raise_error(F.lit("timestamp_ms has a null")).cast("long"))
+    ok = F.coalesce(F.col("timestamp_ms"), F.raise_error(F.lit("a null among the times")).cast("long"))
     return df.withColumn("timestamp_ms", ok)
 
 

@@ -11,13 +11,12 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bookweave.functions.scalars import DEPTH, SAMPLE_MS, price_key, quantity
-from bookweave.operators.replay import DAY, book_columns, good_days, keep, spread
+from bookweave.functions.scalars import DEPTH, SAMPLE_MS, price, price_key, quantity
+from bookweave.operators.replay import DAY, book_columns, flagged_days, keep, spread
 
 
 def _cell(ms: int, width: int) -> int:
@@ -67,37 +66,45 @@ class Book:
                     side.drop(sign * key)
 
     def top(self, depth: int) -> list[list]:
-        """For each side, prices and sizes of its best levels, None where there is none."""
+        """For each side, keys and quantities of its best levels."""
         out = []
         for name, sign in (("bids", -1), ("asks", 1)):
-            keys = self.sides[name].order[:depth]
-            gap = [None] * (depth - len(keys))
-            out += [[float(np.float32(sign * k / 1e6)) for k in keys] + gap, [self.sides[name].held[k] for k in keys] + gap]
+            side = self.sides[name]
+            keys = side.order[:depth]
+            out += [[sign * k for k in keys], [side.held[k] for k in keys]]
         return out
 
 
-def sampled_books(records: DataFrame, sample_ms: int = SAMPLE_MS, depth: int = DEPTH) -> DataFrame:
-    """As replay.sampled_books; times are read and days checked in the JVM."""
+LADDERS = "symbol string, trade_date date, seq long, first_grid long, last_grid long, bid array<long>, bid_qty array<float>, ask array<long>, ask_qty array<float>"
+
+
+def ladders(kept: DataFrame, sample_ms: int = SAMPLE_MS, depth: int = DEPTH) -> DataFrame:
+    """kept: as replay.keep gives it, of good days. For each record that passes grid points, the best keys and quantities of each side.
+
+    The window that numbers a day's records deals and sorts them; where kept comes from windows over the same days
+    it needs no shuffle of its own. Days follow each other whole and in order.
+    """
 
     def parsed(column: str):
         return F.transform(F.col(column), lambda l: F.struct(price_key(F.get(l, F.lit(0))).alias("px_key"), quantity(F.get(l, F.lit(1))).alias("qty")))
 
-    kept = good_days(keep(records)).select(*DAY, "seq", (F.col("action") == "snapshot").alias("snapshot"), "ets", "pts", parsed("bids").alias("bids"), parsed("asks").alias("asks"))
-    ordered = kept.repartition(*DAY).sortWithinPartitions(*DAY, "seq")
-    names = book_columns(depth)
-    schema = pa.schema([("symbol", pa.string()), ("trade_date", pa.date32()), ("seq", pa.int64()), ("first_grid", pa.int64()), ("last_grid", pa.int64()), *((n, pa.float32()) for n in names)])
+    place = F.row_number().over(Window.partitionBy(*DAY).orderBy("seq"))
+    ordered = kept.select(*DAY, "seq", (F.col("action") == "snapshot").alias("snapshot"), "ets", "pts", parsed("bids").alias("bids"), parsed("asks").alias("asks"), place.alias("place"))
+    whole, part = pa.list_(pa.int64()), pa.list_(pa.float32())
+    schema = pa.schema([("symbol", pa.string()), ("trade_date", pa.date32()), ("seq", pa.int64()), ("first_grid", pa.int64()), ("last_grid", pa.int64()), ("bid", whole), ("bid_qty", part), ("ask", whole), ("ask_qty", part)])
 
     def replay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        day, book, rows = None, Book(), []
+        book, rows, last = Book(), [], 0
         for batch in batches:
-            for symbol, date, seq, snapshot, ets, pts, bids, asks in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (symbol, date) != day:
-                    day, book = (symbol, date), Book()
+            for symbol, date, seq, snapshot, ets, pts, bids, asks, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if n == 1:
+                    book = Book()
+                elif n != last + 1:
+                    raise ValueError(f"records of {symbol} {date} are out of order")
+                last = n
                 book.apply(snapshot, bids, asks)
                 if pts is not None and _cell(ets, sample_ms) > _cell(pts, sample_ms):
-                    bid_px, bid_sz, ask_px, ask_sz = book.top(depth)
-                    cells = [x for px, sz in ((bid_px, bid_sz), (ask_px, ask_sz)) for pair in zip(px, sz, strict=True) for x in pair]
-                    rows.append((symbol, date, seq, _cell(pts, sample_ms) + 1, _cell(ets, sample_ms), *cells))
+                    rows.append((symbol, date, seq, _cell(pts, sample_ms) + 1, _cell(ets, sample_ms), *book.top(depth)))
                     if len(rows) >= 4096:
                         yield table(rows)
                         rows = []
@@ -107,8 +114,30 @@ def sampled_books(records: DataFrame, sample_ms: int = SAMPLE_MS, depth: int = D
     def table(rows: list[tuple]) -> pa.RecordBatch:
         return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    types = "symbol string, trade_date date, seq long, first_grid long, last_grid long, " + ", ".join(f"{n} float" for n in names)
-    return ordered.mapInArrow(replay, types)
+    return ordered.mapInArrow(replay, LADDERS)
+
+
+def wide(rows: DataFrame, depth: int = DEPTH) -> DataFrame:
+    """ladders' rows with a column for each cell of the book; levels that it lacks are null."""
+    cells = []
+    for name in book_columns(depth):
+        side, kind, i = name.split("_")
+        cells.append((price(F.get(side, F.lit(int(i)))) if kind == "px" else F.get(f"{side}_qty", F.lit(int(i)))).alias(name))
+    return rows.select(*DAY, "seq", "first_grid", "last_grid", *cells)
+
+
+def long(rows: DataFrame) -> DataFrame:
+    """ladders' rows as replay.top_levels gives them: one for each level."""
+
+    def levels(side: str):
+        return F.transform(side, lambda key, i: F.struct(F.lit(side).alias("side"), i.alias("level"), key.alias("px_key"), F.get(f"{side}_qty", i).alias("qty")))
+
+    return rows.select(*DAY, "seq", F.inline(F.concat(levels("bid"), levels("ask"))))
+
+
+def sampled_books(records: DataFrame, sample_ms: int = SAMPLE_MS, depth: int = DEPTH) -> DataFrame:
+    """As replay.sampled_books; times are read and days checked in the JVM, in the windows that also deal and sort the records."""
+    return wide(ladders(flagged_days(keep(records)), sample_ms, depth), depth)
 
 
 def samples(records: DataFrame, sample_ms: int = SAMPLE_MS, depth: int = DEPTH) -> DataFrame:

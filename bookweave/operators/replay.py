@@ -105,17 +105,11 @@ def regressions(kept: DataFrame) -> DataFrame:
 
 
 def flagged_days(kept: DataFrame) -> DataFrame:
-    """kept without the days that fail, in the one pass that its windows make: for days that fit a task's buffer."""
+    """kept without the days that fail, in the one pass that its windows make; a day's rows are held, and spilled, until its end is seen."""
     older = F.max(F.coalesce(F.col("ets") < F.col("pts"), F.lit(False))).over(Window.partitionBy(*DAY))
     return kept.withColumn("_older", older).where("NOT _older").drop("_older")
 
 
-def good_days(kept: DataFrame) -> DataFrame:
-    """kept without the days that fail, by a pass over the times alone: for days of any length."""
-    bad = kept.where("ets < pts").select(*DAY).distinct()
-    return kept.join(bad, DAY, "left_anti")
-
-
 def samples(records: DataFrame, sample_ms: int = SAMPLE_MS, depth: int = DEPTH) -> DataFrame:
     """The sampled book of all good days: symbol, trade_date, timestamp_ms and the wide columns."""
     return spread(sampled_books(records, sample_ms, depth), sample_ms)

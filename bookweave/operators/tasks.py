@@ -21,14 +21,23 @@ def lookback(symbols: DataFrame, run_date: Column, days: int) -> DataFrame:
     return symbols.select("symbol", run_date.alias("run_date"), back).select("symbol", F.date_sub("run_date", F.col("back")).alias("trade_date"))
 
 
+#: White space as Unicode has it, at either end of a text.
+ENDS = r"(?U)^\s+|\s+$"
+
+
+def stripped(text: Column) -> Column:
+    """text without white space of any kind at its ends."""
+    return F.regexp_replace(text, ENDS, "")
+
+
 def targets(lines: DataFrame) -> DataFrame:
     """lines: line_no, line (symbol:YYYY-MM-DD). symbol, trade_date and error; blank and # lines go."""
-    text = F.trim("line")
+    text = stripped(F.col("line"))
     at = F.instr(text, ":")
-    symbol, date = F.trim(F.substr(text, F.lit(1), at - 1)), F.trim(F.substr(text, at + 1))
+    symbol, date = stripped(F.substr(text, F.lit(1), at - 1)), stripped(F.substr(text, at + 1))
     rows = lines.where((F.length(text) > 0) & ~text.startswith("#")).select("line_no", at.alias("at"), symbol.alias("symbol"), date.alias("date"))
     parsed = F.when(F.col("date").rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"), F.try_to_date("date", "yyyy-M-d"))
-    error = F.when(F.col("at") == 0, "expected inst:tradedate").when(F.col("symbol") == "", "missing inst").when(F.col("date") == "", "missing tradedate").when(F.col("parsed").isNull(), F.concat(F.lit("bad tradedate "), "date"))
+    error = F.when(F.col("at") == 0, "no colon between instrument and day").when(F.col("symbol") == "", "no instrument").when(F.col("date") == "", "no day").when(F.col("parsed").isNull(), F.concat("date", F.lit(" is no day")))
     rows = rows.withColumn("parsed", parsed).withColumn("error", error)
     ok = F.col("error").isNull()
     return rows.select("line_no", F.when(ok, F.col("symbol")).alias("symbol"), F.when(ok, F.col("parsed")).alias("trade_date"), "error")
@@ -39,10 +48,10 @@ def load_targets(lines: DataFrame) -> DataFrame:
     rows = targets(lines)
     bad = rows.where("error IS NOT NULL").orderBy("line_no").first()
     if bad:
-        raise ValueError(f"invalid target file line {bad.line_no}: {bad.error}")
+        raise ValueError(f"target line {bad.line_no}: {bad.error}")
     found = rows.groupBy("symbol", "trade_date").agg(F.min("line_no").alias("line_no"))
     if found.isEmpty():
-        raise ValueError("target file contains no targets")
+        raise ValueError("no targets")
     return found.orderBy("line_no").select("symbol", "trade_date")
 
 
@@ -66,6 +75,11 @@ def raw_usage(files: DataFrame) -> DataFrame:
     return files.where(raw).agg(F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
 
 
+def in_order(start, end):
+    """Whether a range of days is one; for dates and for columns."""
+    return start <= end
+
+
 def check_bounds(start, end) -> None:
-    if end < start:
+    if not in_order(start, end):
         raise ValueError(f"end {end} is before start {start}")

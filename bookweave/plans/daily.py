@@ -65,7 +65,10 @@ def fetch_http(symbol: str, day: date, path: str, base: str = tasks.ARCHIVES, ti
 
 
 def fetched(todo: DataFrame, config: Config, fetch: Fetch) -> DataFrame:
-    """todo: TASK. Adds kind (an event of the ledger, or not_available) and reason; waits between tries double."""
+    """todo: TASK. Adds kind (an event of the ledger, or not_available) and reason; waits between tries double.
+
+    Before each archive the raw files are measured: at the cap a task is deferred, untried, so the cap holds but for the archives under way.
+    """
     schema = pa.schema([("symbol", pa.string()), ("trade_date", pa.date32()), ("kind", pa.string()), ("reason", pa.string())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,7 +76,9 @@ def fetched(todo: DataFrame, config: Config, fetch: Fetch) -> DataFrame:
             for row in batch.to_pylist():
                 path = book_files.day_path(config.raw_root, row["symbol"], row["trade_date"], archive.SUFFIX)
                 kind, reason = "download_failure", None
-                for attempt in range(config.tries + 1):
+                full = archive.usage(config.raw_root) >= config.raw_max_bytes
+                kind = "deferred" if full else kind
+                for attempt in range(0 if full else config.tries + 1):
                     if attempt:
                         time.sleep(min(2 ** (attempt - 1), 30))
                     try:
@@ -96,19 +101,19 @@ def processed(spark: SparkSession, todo: DataFrame, config: Config) -> DataFrame
     broken = records.where("error IS NOT NULL").groupBy(*TASK).agg(F.min("error").alias("why"))
     records = records.where("error IS NULL").drop("error")
     checks = day_checks.bad_lines(records)
-    kept = replay.keep(records.where("ok"))
+    kept = settle(replay.keep(records.where("ok")), "wave")  # the windows run once
     older = replay.regressions(kept)
     state = todo.select(*TASK).join(broken, TASK, "left").join(checks, TASK, "left").join(older.withColumnRenamed("failed", "older"), TASK, "left")
-    share = F.format_string("bad JSON lines %d/%d (%.3f%%) exceeds %.3f%% threshold", "bad", "total", F.col("bad_share") * 100, F.lit(day_checks.MAX_BAD_SHARE * 100))
-    reason = F.when(F.col("why").isNotNull(), F.col("why")).when(F.col("total").isNull(), "raw archive missing or empty").when(F.col("older"), F.format_string("timestamp regression: record ts %d is older than current %d", "bad_ts", "current_ts"))
-    reason = reason.when(F.col("no_snapshot"), "no snapshot found in daily file").when(F.col("failed"), share)
+    share = F.format_string("%d of %d lines are bad, more than %.1f %% of them", "bad", "total", F.lit(day_checks.MAX_BAD_SHARE * 100))
+    reason = F.when(F.col("why").isNotNull(), F.col("why")).when(F.col("total").isNull(), "the archive is not there or has no lines").when(F.col("older"), F.format_string("a record of time %d follows one of time %d", "bad_ts", "current_ts"))
+    reason = reason.when(F.col("no_snapshot"), "the day has no snapshot").when(F.col("failed"), share)
     state = settle(state.select(*TASK, reason.alias("reason")), "wave")
     good = state.where("reason IS NULL").select(*TASK)
-    books = fused.samples(records.where("ok").join(F.broadcast(good), TASK), config.sample_ms, config.depth)
-    written = book_files.write_days(books, config.parquet_root).collect()  # a row for each day of the wave
+    books = fused.wide(fused.ladders(kept.join(good, TASK), config.sample_ms, config.depth), config.depth)
+    written = book_files.write_sorted_days(replay.spread(books, config.sample_ms), config.parquet_root).collect()  # a row for each day of the wave
     rows = [(p.split("/")[-2], date.fromisoformat(p.split("/")[-1].removesuffix(book_files.PARQUET)), n) for p, n in written]
     out = state.join(spark.createDataFrame(rows, "symbol string, trade_date date, rows long"), TASK, "left")
-    reason = F.coalesce("reason", F.when(F.col("rows").isNull(), "no snapshots produced"))
+    reason = F.coalesce("reason", F.when(F.col("rows").isNull(), "the day gives no samples"))
     return out.select(*TASK, F.when(reason.isNull(), "process_success").otherwise("process_failure").alias("kind"), reason.alias("reason"), "rows")
 
 
@@ -126,11 +131,16 @@ def transition(states: DataFrame, events: DataFrame) -> DataFrame:
     ))
 
 
+def update(spark: SparkSession, root: str, events: DataFrame) -> None:
+    """Reads the states of the events' tasks, applies one event each and writes them, as the ledger's only writer meanwhile."""
+    with ledger_files.locked(spark, root):
+        ledger_files.write_states(transition(ledger_files.read_states(spark, root, events), events), root)
+
+
 def _record(spark: SparkSession, config: Config, rows: list[tuple]) -> None:
     """rows: symbol, day, kind, reason, rows."""
     if rows:
-        events = spark.createDataFrame(rows, "symbol string, trade_date date, kind string, reason string, rows long")
-        ledger_files.write_states(transition(ledger_files.read_states(spark, config.ledger_root, events), events), config.ledger_root)
+        update(spark, config.ledger_root, spark.createDataFrame(rows, "symbol string, trade_date date, kind string, reason string, rows long"))
 
 
 def run(spark: SparkSession, todo: list[tuple[str, date]], config: Config, fetch: Fetch = fetch_http, process: Callable[[SparkSession, DataFrame, Config], DataFrame] = processed, sleep: Callable[[float], None] = time.sleep) -> dict[str, int]:
@@ -165,16 +175,20 @@ def run(spark: SparkSession, todo: list[tuple[str, date]], config: Config, fetch
         settled, again, arrived = [], [], []
         for symbol, day, kind, reason in events:
             key = (symbol, day)
-            if kind in ("present", "download_success"):
+            if kind == "deferred":
+                queue.insert(0, key)
+            elif kind in ("present", "download_success"):
                 arrived.append(key)
                 settled += [(*key, kind, None, None)] * (kind != "present")
             elif kind == "not_available" and day <= cutoff:
                 settled.append((*key, kind, None, None))
                 report["not_available"] += 1
             else:
-                why = f"not available yet: {day} is newer than terminal cutoff {cutoff}" if kind == "not_available" else reason
+                why = f"not published yet: {day} is after {cutoff}" if kind == "not_available" else reason
                 settled.append((*key, "download_failure", why, None))
                 again.append(key)
+        if events and all(kind == "deferred" for _, _, kind, _ in events):
+            raise ValueError(f"files below {config.raw_root} that no task waits for fill the cap of {config.raw_max_bytes} bytes")
         _record(spark, config, settled)
         ends = []
         if arrived:
@@ -201,6 +215,33 @@ def run(spark: SparkSession, todo: list[tuple[str, date]], config: Config, fetch
     return report
 
 
+def daily(spark: SparkSession, symbols: list[str], run_date: date, lookback: int, config: Config, transfer_root: str, fetch: Fetch = fetch_http, copies: dict[str, str] | None = None, summary: str | None = None, clean: bool = False, level: int = 19, verify: bool = False) -> dict[str, int]:
+    """The day's round: the days before run_date are brought to an end, their books coded, both copied to other folders, and what is left over deleted.
+
+    copies: books, blobs and logs by the folder they go to. Days that failed end the round before anything is coded or copied. clean: the
+    round's books and blobs go once they are copied. No folder is deleted, and books of other days stay.
+    """
+    todo = [(s, run_date - timedelta(days=n)) for n in range(1, lookback + 1) for s in symbols]
+    report = run(spark, todo, config, fetch)
+    if summary:
+        write_summary(spark, list(dict.fromkeys(todo)), config, summary)
+    if report["failed"]:
+        return report
+    roots = {"books": config.parquet_root, "blobs": transfer_root, "logs": summary.rpartition("/")[0] if summary else ""}
+    done = book_files.encode_tree(spark, config.parquet_root, transfer_root, level=level, verify=verify).where("status = 'failed'").collect()
+    for kind, target in (copies or {}).items():
+        if roots[kind]:
+            done += book_files.copy_tree(spark, roots[kind], target).where("status = 'failed'").collect()
+    if done:  # rows of files that failed alone
+        raise OSError("; ".join(f"{r.input}: {r.error}" for r in done))
+    for root in (config.raw_root, config.parquet_root, transfer_root):
+        ledger_files.clean_up(root)
+    for key in todo if clean and copies else ():
+        ledger_files.remove(book_files.day_path(config.parquet_root, *key, book_files.PARQUET))
+        ledger_files.remove(book_files.day_path(transfer_root, *key, book_files.BLOB))
+    return report
+
+
 def write_summary(spark: SparkSession, todo: list[tuple[str, date]], config: Config, path: str) -> None:
     """A CSV line for each task, in the order of the tasks."""
     rows = spark.createDataFrame([(n, *k) for n, k in enumerate(todo)], "n long, symbol string, trade_date date")

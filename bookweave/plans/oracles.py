@@ -79,8 +79,8 @@ ORDERS = """WITH o AS (
   FROM orders)"""
 
 
-def folded(where: str = "true") -> str:
-    return ORDERS + f""",
+def folded(where: str = "true", orders: str = "") -> str:
+    return (orders or ORDERS) + f""",
 k AS (SELECT *, CASE kind WHEN 'download_success' THEN 'success' WHEN 'download_failure' THEN 'failed' WHEN 'not_available' THEN 'not_available' END AS down,
   CASE kind WHEN 'process_success' THEN 'success' WHEN 'process_failure' THEN 'failed' END AS done FROM o WHERE {where}),
 g AS (SELECT symbol, trade_date, coalesce(arg_max(down, seq) FILTER (down IS NOT NULL), 'pending') AS download, coalesce(arg_max(done, seq) FILTER (done IS NOT NULL), 'pending') AS process,
@@ -90,6 +90,9 @@ f AS (SELECT g.*, CASE WHEN kind = 'process_success' THEN n_rows END AS rows, ki
 states AS (SELECT *, {DERIVED} FROM f)"""
 
 
+MONTHLY = ORDERS.replace("CAST(o_orderdate AS DATE) AS trade_date", "CAST(date_trunc('month', CAST(o_orderdate AS DATE)) AS DATE) AS trade_date")
+FIRST = MONTHLY.replace("WITH o AS (", "WITH every AS (") + ", o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY symbol, trade_date ORDER BY seq) AS place FROM every) WHERE place <= 3)"
+
 DERIVED = """download = 'success' AS downloaded, download = 'not_available' AS not_available, process = 'success' AS processed, process = 'success' AS validated,
   download = 'success' AND NOT raw_deleted AS raw_present, process = 'success' AS parquet_present,
   CASE WHEN download = 'not_available' THEN 'not_available' WHEN process = 'success' THEN 'success' WHEN download = 'failed' OR process = 'failed' THEN 'failed' ELSE 'pending' END AS task_status"""
@@ -103,6 +106,11 @@ SIZED = f"""sized AS (SELECT symbol, trade_date, count(*) AS rows, {HEADER_LETTE
 blob AS (SELECT *, 12 + header_bytes + 80 * ((rows + 7) // 8) + 8 + 4 * (rows - 1) + 2 * (8 + 4 * (rows - 1) + 80 * rows) + 160 * rows AS blob_bytes FROM sized)"""
 
 
+#: Letters of the experiments' headers, but for the digits of the row count.
+STEPS_HEAD = len('{"format":"column_time_delta_v1","rows":,"scale":1000000,"timestamp":"timestamp_ms","price_cols":[],"size_cols":[],"sizes":"raw_f32"}') + sum(len(f'"{c}",') for c in columns()) - 2
+OFFSETS_HEAD = len('{"format":"base_offset_v1","rows":,"depth":20,"scale":1000000,"timestamp":"timestamp_ms","bid_px_cols":[],"ask_px_cols":[],"size_cols":[],"sizes":"raw_f32","bid_offsets":"bid_px_0_minus_bid_px_i_i32","ask_offsets":"ask_px_i_minus_ask_px_0_i32"}') + sum(len(f'"{c}",') for c in columns()) - 3
+
+
 def bit(column: str, m: int) -> str:
     return f"CASE WHEN {column} % {m} < {m - 1} THEN {column} % {m} = 0 END"
 
@@ -111,7 +119,7 @@ def targets() -> str:
     return ORDERS + """,
 l AS (SELECT seq AS line_no, symbol, strftime(trade_date, '%Y-%m-%d') AS d, seq % 7 AS n, trade_date FROM o)
 SELECT line_no, CASE WHEN n = 6 THEN symbol END AS symbol, CASE WHEN n = 6 THEN trade_date END AS trade_date,
-  CASE n WHEN 2 THEN 'expected inst:tradedate' WHEN 3 THEN 'missing inst' WHEN 4 THEN 'bad tradedate 2024-99-99' WHEN 5 THEN 'missing tradedate' END AS error
+  CASE n WHEN 2 THEN 'no colon between instrument and day' WHEN 3 THEN 'no instrument' WHEN 4 THEN '2024-99-99 is no day' WHEN 5 THEN 'no day' END AS error
 FROM l WHERE n > 1"""
 
 
@@ -134,7 +142,7 @@ SELECT symbol, seq, 'bid' AS side, px_key, arg_max(qty, pos) AS qty, CAST(max(po
     "lob_level_intervals": intervals() + f" SELECT {DAY}, epoch, side, px_key, seq, next_seq, qty FROM live",
     "lob_topk_long": top(MINUTE) + f" SELECT {DAY}, seq, side, CAST(level AS INTEGER) AS level, px_key, qty FROM top",
     "lob_topk_wide": samples(FIVE) + f" SELECT {DAY}, timestamp_ms, {ALL} FROM samples",
-    "lob_topk_fused": samples(FIVE) + f" SELECT {DAY}, timestamp_ms, {ALL} FROM samples",
+    "lob_topk_joined": samples(FIVE) + f" SELECT {DAY}, timestamp_ms, {ALL} FROM samples",
     "lob_grid": kept() + triggers(MINUTE) + f" SELECT {DAY}, unnest(range(first_grid, last_grid + 1)) * {MINUTE} AS timestamp_ms FROM trig",
     "lob_day_rowcount": kept() + triggers(MINUTE) + f", c AS (SELECT {DAY}, CAST(sum(last_grid - first_grid + 1) AS BIGINT) AS n FROM trig GROUP BY {DAY}), e AS (SELECT {DAY}, max(ets) // {MINUTE} - min(ets) // {MINUTE} AS expected FROM kept GROUP BY {DAY}) SELECT {DAY}, coalesce(n, 0) AS sampled, expected, coalesce(n, 0) = expected AS same FROM e LEFT JOIN c USING ({DAY})",
     "lob_best_quote_samples": samples(MINUTE, 1) + f" SELECT {DAY}, timestamp_ms, bid_px_0, ask_px_0, ask_px_0 - bid_px_0 AS spread, (ask_px_0 + bid_px_0) / 2 AS mid FROM samples",
@@ -174,10 +182,41 @@ SELECT *, 0 AS process_attempts, CASE WHEN not_available THEN 'not_available' WH
     "not_available_cutoff": ORDERS + " SELECT seq, CASE WHEN trade_date <= DATE '1996-06-30' THEN 'not_available' ELSE 'retry' END AS outcome FROM o",
     "raw_usage": ORDERS + " SELECT count(*) AS files, CAST(coalesce(sum(CAST(floor(o_totalprice) AS BIGINT)), 0) AS BIGINT) AS bytes FROM o WHERE seq % 3 < 2",
 }
+ORACLES |= {
+    "archive_scan": base() + f" SELECT {DAY}, count(*) AS lines, count(*) FILTER (NOT {BAD}) AS good, count(*) AS last_seq FROM base GROUP BY {DAY}",
+    "archive_checks": base() + f" SELECT {DAY}, CAST(CASE WHEN day(trade_date) % 4 < 2 THEN count(*) ELSE 0 END AS BIGINT) AS lines, CAST(day(trade_date) % 4 > 0 AS BIGINT) AS errors FROM base GROUP BY {DAY}",
+    "lob_line_filter": base() + f" SELECT {DAY}, count(*) AS lines, count(*) FILTER (seq % 13 <> 0 AND NOT {BAD}) AS good FROM base WHERE seq % 11 <> 0 GROUP BY {DAY}",
+    "book_files_scan": samples(FIVE) + f" SELECT {DAY}, timestamp_ms, {ALL} FROM samples",
+    "blob_files_scan": wide(FIVE) + f" SELECT {DAY}, last_grid * {FIVE} AS timestamp_ms, {ALL} FROM books WHERE bid_px_0 IS NOT NULL AND ask_px_0 IS NOT NULL",
+    "blob_headers": coded() + f" SELECT {DAY}, count(*) AS rows, 20 AS depth, CAST(1000000 AS BIGINT) AS scale FROM codable GROUP BY {DAY}",
+    "blob_transfer": coded() + f" SELECT {DAY}, 'skipped' AS again, 'done' AS copied, 'done' AS decoded, 'done' AS compared, count(*) AS rows FROM codable GROUP BY {DAY}",
+    "delta_blob_roundtrip": coded() + f", {SIZED} SELECT {DAY}, rows, blob_bytes AS raw_bytes, CAST(0 AS BIGINT) AS differing_cells, true AS smaller, CAST(NULL AS VARCHAR) AS error FROM blob",
+    "delta_errors": coded() + f", d AS (SELECT DISTINCT {DAY}, day(trade_date) % 9 AS n FROM codable) SELECT {DAY}, ['no', 'null best price', 'inexact price', 'wide step', 'null time', 'magic', 'cut', 'longer', 'overflow'][1 + n] AS spoilt, n > 0 AS refused FROM d",
+    "delta_time_sample": coded() + f", s AS (SELECT DISTINCT {DAY}, step FROM (SELECT {DAY}, timestamp_ms - lag(timestamp_ms) OVER (PARTITION BY {DAY} ORDER BY timestamp_ms) AS step FROM codable) WHERE step IS NOT NULL), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY {DAY} ORDER BY step) AS INTEGER) AS rank FROM s) SELECT * FROM r WHERE rank <= 16",
+    "delta_forms": coded() + f""", n AS (SELECT {DAY}, count(*) AS n, len(CAST(count(*) AS VARCHAR)) AS digits FROM codable GROUP BY {DAY}),
+f AS (SELECT name, zip FROM (VALUES ('book'), ('steps by column'), ('base and offsets')) a(name), (VALUES (''), (', zstd 3')) b(zip))
+SELECT {DAY}, name || zip AS name, CAST(CASE WHEN zip = '' AND name = 'steps by column' THEN 4 + {STEPS_HEAD} + digits + 41 * (8 + 4 * (n - 1)) + 160 * n
+  WHEN zip = '' AND name = 'base and offsets' THEN 4 + {OFFSETS_HEAD} + digits + 3 * (8 + 4 * (n - 1)) + 320 * n END AS DOUBLE) AS bytes, true AS "some" FROM n CROSS JOIN f""",
+    "delta_restored_book": coded() + f" SELECT {DAY}, count(*) AS rows, CAST(0 AS BIGINT) AS differing_cells FROM codable GROUP BY {DAY}",
+    "task_load_targets": ORDERS + " SELECT DISTINCT symbol, trade_date FROM o",
+    "task_bounds": ORDERS + " SELECT seq, n_rows % 5 >= 2 AS ok FROM o",
+    "ledger_files_scan": folded("month(trade_date) <> 1", MONTHLY) + f""", t AS (SELECT DISTINCT {DAY} FROM o)
+SELECT {DAY}, coalesce(download, 'pending') AS download, coalesce(process, 'pending') AS process, coalesce(download_attempts, 0) AS download_attempts, coalesce(process_attempts, 0) AS process_attempts, rows, coalesce(raw_deleted, false) AS raw_deleted, last_error,
+  coalesce(downloaded, false) AS downloaded, coalesce(not_available, false) AS not_available, coalesce(processed, false) AS processed, coalesce(validated, false) AS validated, coalesce(raw_present, false) AS raw_present, coalesce(parquet_present, false) AS parquet_present, coalesce(task_status, 'pending') AS task_status
+FROM t LEFT JOIN states USING ({DAY})""",
+    "ledger_updates": folded(orders=FIRST) + f" SELECT {DAY}, {STATE} FROM states",
+    "file_clean_up": "SELECT DISTINCT o_orderpriority AS symbol, name, length FROM orders, (VALUES ('2024-01-02.parquet', CAST(3 AS BIGINT)), ('2024-01-02.json', CAST(7 AS BIGINT))) f(name, length)",
+    "daily_run": kept() + f""", lines AS (SELECT {DAY}, count(*) FILTER ({BAD}) / count(*) > 0.001 AS bad FROM base GROUP BY {DAY}),
+spans AS (SELECT {DAY}, CAST(max(ets) // {FIVE} - min(ets) // {FIVE} AS BIGINT) AS n FROM kept GROUP BY {DAY}),
+e AS (SELECT *, day(trade_date) % 5 = 0 AS absent, NOT bad AND n > 0 AS good FROM lines JOIN spans USING ({DAY}))
+SELECT {DAY}, CASE WHEN absent THEN 'not_available' WHEN good THEN 'success' ELSE 'failed' END AS status, CAST(CASE WHEN good AND NOT absent THEN n END AS DOUBLE) AS rows, 1 AS download_attempts, CAST(NOT absent AS INTEGER) AS process_attempts, false AS raw_present FROM e""",
+}
 
 #: Queries whose result has the column trade_date.
 WITH_DAY = {
-    "lob_ts_regressions", "lob_epochs", "lob_leading_drop", "lob_level_intervals", "lob_topk_long", "lob_topk_wide", "lob_topk_fused", "lob_grid", "lob_day_rowcount", "lob_best_quote_samples", "lob_bad_line_ratio",
+    "lob_ts_regressions", "lob_epochs", "lob_leading_drop", "lob_level_intervals", "lob_topk_long", "lob_topk_wide", "lob_topk_joined", "lob_grid", "lob_day_rowcount", "lob_best_quote_samples", "lob_bad_line_ratio",
     "delta_ts", "delta_base", "delta_offsets", "delta_restore", "delta_verify", "delta_null_bitmap", "delta_blob_size", "delta_column_time", "delta_compression",
     "task_range", "task_lookback", "task_targets", "task_urls", "ledger_legacy", "ledger_fold", "ledger_routing",
+    "archive_scan", "archive_checks", "lob_line_filter", "book_files_scan", "blob_files_scan", "blob_headers", "blob_transfer", "delta_blob_roundtrip", "delta_errors", "delta_time_sample", "delta_forms", "delta_restored_book",
+    "task_load_targets", "ledger_files_scan", "ledger_updates", "daily_run",
 }

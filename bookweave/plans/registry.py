@@ -24,6 +24,8 @@ NULLABLE = {
     "delta_base": ["bid_step", "ask_step"],
     "delta_column_time": ["least", "greatest"],
     "ledger_fold": ["rows"],
+    "ledger_files_scan": ["rows"],
+    "ledger_updates": ["rows"],
 }
 
 

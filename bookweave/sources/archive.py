@@ -38,6 +38,15 @@ def find(path: str, suffix: str) -> list[str]:
     return sorted(scheme + f.path for f in files if f.type == pafs.FileType.File and f.path.endswith(suffix))
 
 
+def usage(root: str) -> int:
+    """Bytes of the archives below root and of those still being written."""
+    fs, inner = filesystem(root)
+    if fs.get_file_info(inner).type == pafs.FileType.NotFound:
+        return 0
+    files = fs.get_file_info(pafs.FileSelector(inner, recursive=True))
+    return sum(f.size or 0 for f in files if f.type == pafs.FileType.File and f.path.endswith((SUFFIX, ".tmp")))
+
+
 def entries(path: str) -> Iterator[Iterator[bytes]]:
     """The lines of each regular non-empty entry; raises what BROKEN names."""
     fs, inner = filesystem(path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import gzip
 import io
 import tarfile
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,15 +30,16 @@ def archive(entries: Iterable[tuple[str, bytes | None]]) -> bytes:
     return gzip.compress(out.getvalue(), mtime=0)
 
 
-def write(lines: DataFrame, root: str | None = None) -> str:
-    """lines: symbol, trade_date, seq, line. One archive of one entry for each day below root; returns root."""
+def write(lines: DataFrame, root: str | None = None, change: Callable[[str, object, bytes], bytes] | None = None) -> str:
+    """lines: symbol, trade_date, seq, line. One archive of one entry for each day below root, its bytes changed by change(symbol, day, bytes); returns root."""
     root = root or shared_dir(lines.sparkSession, "archives")
 
     def day(table: pa.Table) -> pa.Table:
         table = table.sort_by("seq")
         symbol, date = table["symbol"][0].as_py(), table["trade_date"][0].as_py()
         text = "".join(f"{line}\n" for line in table["line"].to_pylist()).encode()
-        publish(day_path(root, symbol, date, SUFFIX), archive([(f"{symbol}-{date}.json", text)]))
+        data = archive([(f"{symbol}-{date}.json", text)])
+        publish(day_path(root, symbol, date, SUFFIX), change(symbol, date, data) if change else data)
         return pa.table({"lines": pa.array([table.num_rows], pa.int64())})
 
     lines.select(*DAY, "seq", "line").groupBy(*DAY).applyInArrow(day, "lines long").agg({"lines": "sum"}).collect()

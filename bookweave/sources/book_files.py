@@ -9,7 +9,7 @@ from typing import BinaryIO
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bookweave.operators import delta_blob
@@ -59,19 +59,73 @@ def read_book(path: str) -> pa.Table:
 
 
 def write_days(books: DataFrame, root: str) -> DataFrame:
-    """One Parquet file for each day of sampled books (symbol, trade_date, timestamp_ms, columns); returns path and rows, checked against the files' own counts."""
-    schema = pa.schema([pa.field("timestamp_ms", pa.int64(), nullable=False), *(pa.field(c, pa.float32()) for c in book_columns())])
+    """One Parquet file for each day of sampled books (symbol, trade_date, timestamp_ms, columns), in any order; returns path and rows."""
+    return write_sorted_days(books.repartition(*DAY).sortWithinPartitions(*DAY, "timestamp_ms"), root)
+
 
-    def day(table: pa.Table) -> pa.Table:
-        path = day_path(root, table["symbol"][0].as_py(), table["trade_date"][0].as_py(), PARQUET)
-        publish(path, parquet_bytes(table.sort_by("timestamp_ms").select(schema.names).cast(schema)))
-        fs, inner = filesystem(path)
-        rows = pq.read_metadata(fs.open_input_file(inner)).num_rows
-        if rows != table.num_rows or not rows:
-            raise ValueError(f"{path} has {rows} rows, expected {table.num_rows}")
-        return pa.table({"path": [path], "rows": pa.array([rows], pa.int64())})
+def write_sorted_days(books: DataFrame, root: str, batch: int = 10_000) -> DataFrame:
+    """As write_days, where each day already stands whole in one partition, in order of time, as ``fused.ladders`` leaves it.
 
-    return books.select(*DAY, *schema.names).groupBy(*DAY).applyInArrow(day, "path string, rows long")
+    Rows go to the file in row groups of ``batch``, so memory does not follow the day's length. A file shows under its name
+    once it is complete and its own count agrees with the rows; times that do not ascend are an error.
+    """
+    schema = pa.schema([pa.field("timestamp_ms", pa.int64(), nullable=False), *(pa.field(c, pa.float32()) for c in book_columns())])
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        day, file, done = None, None, []
+        for part in batches:
+            keys = pa.StructArray.from_arrays([part.column(0), part.column(1)], names=DAY)
+            ends = [0, *(i for i in range(1, part.num_rows) if keys[i] != keys[i - 1]), part.num_rows] if part.num_rows and keys[0] != keys[-1] else [0, part.num_rows]
+            for a, b in zip(ends, ends[1:], strict=False):
+                if a == b:
+                    continue
+                key = tuple(keys[a].as_py().values())
+                if key != day:
+                    done += [file.close()] if file else []
+                    day, file = key, DayFile(day_path(root, *key, PARQUET), schema, batch)
+                file.add(part.slice(a, b - a).select(schema.names))
+        done += [file.close()] if file else []
+        yield pa.RecordBatch.from_pylist(done, pa.schema([("path", pa.string()), ("rows", pa.int64())]))
+
+    return books.select(*DAY, *schema.names).mapInArrow(write, "path string, rows long")
+
+
+class DayFile:
+    """A Parquet file that grows by row groups and is renamed when it is whole."""
+
+    def __init__(self, path: str, schema: pa.Schema, batch: int):
+        self.path, self.schema, self.batch = path, schema, batch
+        self.fs, self.inner = filesystem(path)
+        self.fs.create_dir(posixpath.dirname(self.inner), recursive=True)
+        self.writer = pq.ParquetWriter(self.inner + ".tmp", schema, filesystem=self.fs, compression="snappy")
+        self.held, self.waiting, self.rows, self.last = [], 0, 0, None
+
+    def add(self, part: pa.RecordBatch) -> None:
+        times = part.column("timestamp_ms").to_numpy()
+        if (times[1:] <= times[:-1]).any() or (self.last is not None and times[0] <= self.last):
+            raise ValueError(f"times of {self.path} do not ascend")
+        self.last = times[-1]
+        self.held.append(part)
+        self.waiting += part.num_rows
+        if self.waiting >= self.batch:
+            self.flush()
+
+    def flush(self) -> None:
+        if self.waiting:
+            self.writer.write_table(pa.Table.from_batches(self.held).cast(self.schema), row_group_size=self.batch)
+        self.rows += self.waiting
+        self.held, self.waiting = [], 0
+
+    def close(self) -> dict:
+        self.flush()
+        self.writer.close()
+        with self.fs.open_input_file(self.inner + ".tmp") as f:
+            found = pq.read_metadata(f).num_rows
+        if found != self.rows or not found:
+            self.fs.delete_file(self.inner + ".tmp")
+            raise ValueError(f"{self.path} has {found} rows, not {self.rows}")
+        self.fs.move(self.inner + ".tmp", self.inner)
+        return {"path": self.path, "rows": found}
 
 
 def _each(spark: SparkSession, pairs: list[tuple[str, str]], work: Callable[[str, str], dict]) -> DataFrame:
@@ -139,6 +193,33 @@ def verify_tree(spark: SparkSession, books: str, blobs: str) -> DataFrame:
     return _each(spark, pairs, work)
 
 
+def scan_headers(spark: SparkSession, root: str) -> DataFrame:
+    """rows, depth and scale of every blob below root, from as many of its bytes as the header can need."""
+    pairs = [(p, "") for p in find(root, BLOB)]
+
+    def work(source: str, target: str) -> dict:
+        fs, inner = filesystem(source)
+        with fs.open_input_stream(inner, compression=None) as f:
+            return delta_blob.inspect(f)
+
+    return _each(spark, pairs, work)
+
+
+def copy_tree(spark: SparkSession, root: str, out: str, suffix: str = "") -> DataFrame:
+    """Copies the files below root that end in suffix to the same places below out, on any file systems, one file for each task; files of equal size are left as they are."""
+    pairs = [(p, _moved(p, root, out, "", "")) for p in find(root, suffix)]
+
+    def work(source: str, target: str) -> dict:
+        if _size(target) == _size(source):
+            return {"status": "skipped"}
+        fs, inner = filesystem(source)
+        with fs.open_input_stream(inner, compression=None) as f:
+            publish(target, f, _size(source))
+        return {}
+
+    return _each(spark, pairs, work)
+
+
 def scan_blobs(spark: SparkSession, root: str) -> DataFrame:
     """All blobs below root as one table of sampled books."""
     names = book_columns()
@@ -153,10 +234,15 @@ def scan_blobs(spark: SparkSession, root: str) -> DataFrame:
     return files.repartition(max(1, files.count())).mapInArrow(rows, "path string, timestamp_ms long, " + ", ".join(f"{n} float" for n in names))
 
 
+def path_column() -> Column:
+    """The path of a row's file as it is written; Spark gives it with blanks and other signs encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def scan_books(spark: SparkSession, root: str) -> DataFrame:
     """All Parquet books below root, with symbol and trade_date from their paths; columns are pruned and filters reach the files."""
     rows = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{PARQUET}").parquet(root)
-    path = F.split(F.col("_metadata.file_path"), "/")
+    path = F.split(path_column(), "/")
     return rows.select("*", F.element_at(path, -2).alias("symbol"), F.substring(F.element_at(path, -1), 1, 10).cast("date").alias("trade_date"))
 
 

@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 import json
+import os
 import posixpath
+import time
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bookweave.operators.ledger import DAY_STATE, TASK, from_legacy, normalized
+from bookweave.session import hadoop_file
 from bookweave.sources.archive import filesystem, find
-from bookweave.sources.book_files import publish
+from bookweave.sources.book_files import path_column, publish
 
+LOCK = ".lock"
 LEGACY = "map<string,struct<downloaded:boolean,not_available:boolean,processed:boolean,validated:boolean,raw_deleted:boolean,download_attempts:bigint,rows:bigint>>"
 FIELDS = [f.split()[0] for f in DAY_STATE.split(", ")]
 #: Fields that a state without a file has.
@@ -25,7 +31,7 @@ def ledger_path(root: str, symbol: str, trade_date: object) -> str:
 
 
 def _texts(spark: SparkSession, paths: list[str]) -> DataFrame:
-    return spark.read.text(paths, wholetext=True).select(F.split(F.col("_metadata.file_path"), "/").alias("at"), F.col("value"))
+    return spark.read.text(paths, wholetext=True).select(F.split(path_column(), "/").alias("at"), F.col("value"))
 
 
 def read_states(spark: SparkSession, root: str, tasks: DataFrame) -> DataFrame:
@@ -65,6 +71,35 @@ def write_states(states: DataFrame, root: str) -> int:
     return rows.mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
+@contextmanager
+def locked(spark: SparkSession, root: str, wait_s: float = 120, stale_s: float = 900) -> Iterator[None]:
+    """Holds the ledger's lock file, so that of several runs one at a time reads and writes states; a lock older than stale_s was left by a run that died."""
+    fs, inner = filesystem(root)
+    fs.create_dir(inner, recursive=True)
+    path, local = posixpath.join(root, LOCK), isinstance(fs, pa.fs.LocalFileSystem)
+    until = time.monotonic() + wait_s
+    while True:
+        try:
+            if local:
+                os.close(os.open(posixpath.join(inner, LOCK), os.O_CREAT | os.O_EXCL))
+            else:
+                hadoop, at = hadoop_file(spark, path)
+                hadoop.create(at, False).close()
+            break
+        except (OSError, Py4JJavaError):
+            info = fs.get_file_info(posixpath.join(inner, LOCK))
+            if info.type == pa.fs.FileType.File and info.mtime and time.time() - info.mtime.timestamp() > stale_s:
+                remove(path)
+            elif time.monotonic() > until:
+                raise TimeoutError(f"another run holds {path}") from None
+            else:
+                time.sleep(0.1)
+    try:
+        yield
+    finally:
+        remove(path)
+
+
 def listing(spark: SparkSession, raw_root: str, parquet_root: str, tasks: DataFrame) -> DataFrame:
     """TASK, raw and parquet: which files of the tasks exist."""
 

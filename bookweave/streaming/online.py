@@ -16,14 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from bookweave.functions.scalars import DEPTH, SAMPLE_MS, price_key, quantity, timestamp_ms
-from bookweave.operators.fused import Book, _cell
-from bookweave.operators.replay import DAY, book_columns
+from bookweave.operators.fused import LADDERS, Book, _cell, wide
+from bookweave.operators.replay import DAY
 
 
 def online_books(records: DataFrame, sample_ms: int = SAMPLE_MS, depth: int = DEPTH) -> DataFrame:
     """records: a stream as replay takes it. A row for each record that passes grid points, as replay.sampled_books gives."""
-    names = book_columns(depth)
-
     def levels(column: str):
         return F.transform(F.col(column), lambda l: F.struct(price_key(F.get(l, F.lit(0))).alias("px_key"), quantity(F.get(l, F.lit(1))).alias("qty")))
 
@@ -43,13 +41,11 @@ def online_books(records: DataFrame, sample_ms: int = SAMPLE_MS, depth: int = DE
                 continue
             book.apply(snapshot, [x if isinstance(x, dict) else x.asDict() for x in bids], [x if isinstance(x, dict) else x.asDict() for x in asks])
             if last is not None and _cell(now, sample_ms) > _cell(last, sample_ms):
-                bid_px, bid_sz, ask_px, ask_sz = book.top(depth)
-                cells = [x for px, sz in ((bid_px, bid_sz), (ask_px, ask_sz)) for pair in zip(px, sz, strict=True) for x in pair]
-                out.append((*key, seq, _cell(last, sample_ms) + 1, _cell(now, sample_ms), *cells))
+                out.append((*key, seq, _cell(last, sample_ms) + 1, _cell(now, sample_ms), *book.top(depth)))
             last = now
         state.update((pickle.dumps((book, last, failed)),))
         if out:
-            yield pd.DataFrame(out, columns=[*DAY, "seq", "first_grid", "last_grid", *names])
+            yield pd.DataFrame(out, columns=[f.split()[0] for f in LADDERS.split(", ")])
 
-    types = "symbol string, trade_date date, seq long, first_grid long, last_grid long, " + ", ".join(f"{n} float" for n in names)
-    return rows.groupBy(*DAY).applyInPandasWithState(step, types, "state binary", "append", GroupStateTimeout.NoTimeout)
+    found = rows.groupBy(*DAY).applyInPandasWithState(step, LADDERS, "state binary", "append", GroupStateTimeout.NoTimeout)
+    return wide(found, depth)

@@ -3,6 +3,9 @@
 import gzip
 import io
 import json
+import os
+import subprocess
+import sys
 import threading
 import zlib
 from datetime import date
@@ -12,7 +15,7 @@ from http.server import SimpleHTTPRequestHandler, ThreadingHTTPServer
 import pytest
 from pyspark.sql import functions as F
 
-from bookweave import cli
+from bookweave import cli, session
 from bookweave.operators import ledger, tasks
 from bookweave.plans import daily
 from bookweave.sources import archive, archive_writer, book_files, ledger_files
@@ -42,11 +45,11 @@ def test_archives(spark, tmp_path):
 
 
 def test_targets(spark):
-    text = ["BTC-USDT-SWAP:2024-07-01", "", "   # already handled", " A : 2024-01-02 ", "BTC,2024-01-01", ":2024-01-01", "A:", "A:2024-99-99", "A:2024-01-02"]
+    text = ["\tBTC-USDT-SWAP\t:\u00a02024-07-01", "\t \u3000", " \t # already handled", " A : 2024-01-02 ", "BTC,2024-01-01", ":2024-01-01", "A:", "A:2024-99-99", "A:2024-01-02"]
     rows = tasks.targets(spark.createDataFrame(list(enumerate(text, 1)), "line_no long, line string")).orderBy("line_no").collect()
-    assert [(r.line_no, r.error or (r.symbol, str(r.trade_date))) for r in rows] == [(1, ("BTC-USDT-SWAP", "2024-07-01")), (4, ("A", "2024-01-02")), (5, "expected inst:tradedate"), (6, "missing inst"), (7, "missing tradedate"), (8, "bad tradedate 2024-99-99"), (9, ("A", "2024-01-02"))]
+    assert [(r.line_no, r.error or (r.symbol, str(r.trade_date))) for r in rows] == [(1, ("BTC-USDT-SWAP", "2024-07-01")), (4, ("A", "2024-01-02")), (5, "no colon between instrument and day"), (6, "no instrument"), (7, "no day"), (8, "2024-99-99 is no day"), (9, ("A", "2024-01-02"))]
     frame = lambda x: spark.createDataFrame([(i, t) for i, t in x], "line_no long, line string")
-    with pytest.raises(ValueError, match="line 5: expected"):
+    with pytest.raises(ValueError, match="line 5: no colon"):
         tasks.load_targets(frame(enumerate(text, 1)))
     with pytest.raises(ValueError, match="no targets"):
         tasks.load_targets(frame([(1, "#")]))
@@ -155,8 +158,8 @@ def test_daily_run(spark, tmp_path):
     assert book["timestamp_ms"].to_pylist() == [1100, 1200, 1300] and book["bid_sz_0"].to_pylist() == [3.0] * 3
     daily.write_summary(spark, todo[:9], c, str(tmp_path / "s.csv"))
     rows = (tmp_path / "s.csv").read_text().splitlines()
-    assert rows[:2] == ["inst,tradedate,status,rows,error", "A,2024-01-01,success,3,"] and "1099" in rows[2] and "1/3" in rows[3] and rows[4].endswith("no snapshots produced") and rows[5] == "A,2024-01-05,not_available,,"
-    assert rows[6] == 'B,2024-01-01,failed,,"network, unreachable"' and rows[7].endswith("no snapshot found in daily file") and "not available yet" in rows[9]
+    assert rows[:2] == ["inst,tradedate,status,rows,error", "A,2024-01-01,success,3,"] and "1099" in rows[2] and "1 of 3" in rows[3] and rows[4].endswith("the day gives no samples") and rows[5] == "A,2024-01-05,not_available,,"
+    assert rows[6] == 'B,2024-01-01,failed,,"network, unreachable"' and rows[7].endswith("the day has no snapshot") and "not published yet" in rows[9]
     assert not list((tmp_path / "raw").rglob("*.tar.gz")) and [p.name for p in (tmp_path / "parquet").rglob("*.parquet")] == ["2024-01-01.parquet"]
     state = json.loads((tmp_path / "ledger/A/2024-01-02.json").read_text())
     assert (state["download_attempts"], state["process_attempts"], state["task_status"]) == (2, 2, "failed")
@@ -192,3 +195,71 @@ def test_command_line(spark, tmp_path, capsys):
 
 def test_crc_of_writer_is_stable():
     assert zlib.crc32(archive_writer.archive([("a", b"x")])) == zlib.crc32(archive_writer.archive([("a", b"x")]))
+
+
+def test_two_writers_of_one_day_lose_no_update(spark, tmp_path):
+    c = config(tmp_path)
+    runs = [threading.Thread(target=daily._record, args=(spark, c, [("A B", D, "download_failure", "x", None)])) for _ in range(3)]
+    for t in runs:
+        t.start()
+    for t in runs:
+        t.join()
+    state = json.loads((tmp_path / f"ledger/A B/{D}.json").read_text())
+    assert state["download_attempts"] == 3 and not (tmp_path / "ledger/.lock").exists()
+    (tmp_path / "ledger/.lock").touch()
+    with pytest.raises(TimeoutError), ledger_files.locked(spark, c.ledger_root, wait_s=0.2):
+        pass
+    with ledger_files.locked(spark, c.ledger_root, wait_s=0.2, stale_s=-1):
+        pass
+
+
+def test_the_cap_on_raw_files_holds_while_fetching(spark, tmp_path):
+    data = archive_writer.archive([("a.json", lines(SNAP, UPD))])
+    days = [date(2024, 1, n) for n in range(1, 6)]
+
+    def fetch(symbol, day, path):
+        book_files.publish(path, data)
+        (tmp_path / f"seen-{day}-{archive.usage(str(tmp_path / 'raw'))}").touch()
+        return True
+
+    c = config(tmp_path, concurrency=1, raw_max_bytes=2 * len(data))
+    assert daily.run(spark, [("A", d) for d in days], c, fetch) == {"success": 5, "not_available": 0, "failed": 0}
+    most = [int(p.name.rsplit("-", 1)[1]) for p in tmp_path.glob("seen-*")]
+    assert len(most) == 5 and max(most) <= 2 * len(data)
+    put(tmp_path / "raw/other.tar.gz", data * 3)
+    with pytest.raises(ValueError, match="fill the cap"):
+        daily.run(spark, [("B", D)], c, fetch)
+
+
+def test_daily_round(spark, tmp_path):
+    good = archive_writer.archive([("a.json", lines(SNAP, UPD))])
+    archives = {("A", 4): good, ("A", 3): good, ("B", 4): good}
+    roots = [f"--{d}-root={tmp_path / d}" for d in ("raw", "parquet", "ledger", "transfer")]
+    copies = [f"--copy-{d}={tmp_path / 'far' / d}" for d in ("books", "blobs", "logs")]
+    args = ["daily", "--symbol", "A", "--symbol", "B", "--run-date", "2024-01-05", "--lookback-days", "2", "--zstd-level", "3", "--verify", "--clean", "--summary-csv", str(tmp_path / "logs/s.csv"), "--retry-delay-secs", "0"]
+    assert cli.main([*args, *roots, *copies], fetch=local_fetch(archives)) == 0
+    far = sorted(str(p.relative_to(tmp_path / "far")) for p in (tmp_path / "far").rglob("*") if p.is_file())
+    assert far == ["blobs/A/2024-01-03.okxd.zst", "blobs/A/2024-01-04.okxd.zst", "blobs/B/2024-01-04.okxd.zst", "books/A/2024-01-03.parquet", "books/A/2024-01-04.parquet", "books/B/2024-01-04.parquet", "logs/s.csv"]
+    assert (tmp_path / "logs/s.csv").read_text().splitlines()[1:] == ["A,2024-01-04,success,1,", "B,2024-01-04,success,1,", "A,2024-01-03,success,1,", "B,2024-01-03,not_available,,"]
+    assert not [p for d in ("raw", "parquet", "transfer") for p in (tmp_path / d).rglob("*") if p.is_file()]
+    archives["C", 4] = b"down"
+    assert cli.main([*args[:2], "C", *args[5:], *roots, "--dl-retries", "0"], fetch=local_fetch(archives)) == 1
+
+
+def test_shared_folders_are_empty_after_clean(spark):
+    before = session.parts(spark)
+    kept = session.settle(spark.range(5))
+    gone = session.settle(spark.range(6))
+    session.release(gone)
+    other = session.settle(spark.range(7))
+    session.clean(spark, before, keep=kept)
+    assert session.parts(spark) == [*before, kept._settled] and kept.count() == 5
+    session.clean(spark, before)
+    assert session.parts(spark) == before
+    assert not any(os.path.exists(df._settled) for df in (kept, gone, other))
+
+
+def test_the_package_as_one_file(tmp_path):
+    (tmp_path / "b.zip").write_bytes(session.archive())
+    out = subprocess.run([sys.executable, "-c", "import bookweave.operators.fused as m; print(m.__file__)"], cwd=tmp_path, env={"PYTHONPATH": str(tmp_path / "b.zip")}, capture_output=True, text=True, check=True).stdout
+    assert "b.zip" in out and session.archive() == session.archive()
