@@ -30,6 +30,16 @@ def settle(df: DataFrame) -> DataFrame:
     return session.settle(df, "llm")
 
 
+#: Bytes, as JSON text, up to which a table of the driver's or of intermediate results travels to all tasks.
+CARRIED = 32 << 20
+
+
+def carried(df: DataFrame, most: int = CARRIED) -> DataFrame:
+    """df, for a join without a shuffle of the other side where its rows, measured as JSON text, are small enough together; else for one by exchange."""
+    size = df.agg(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns))))), F.lit(0))).first()[0]
+    return F.broadcast(df) if size <= most else df
+
+
 def boxed(docs: DataFrame, *more: Column | str) -> DataFrame:
     """docs as one column _row, with more beside it; whatever names docs has, an operator's own can't clash."""
     return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), *more)

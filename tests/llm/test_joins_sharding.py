@@ -1,6 +1,7 @@
 """Jaccard join, decontamination, sharding and components against brute force."""
 
 import random
+import time
 import zlib
 from collections import Counter
 
@@ -157,10 +158,42 @@ def plain_tiles(doc, item, seed):
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.sampled_from("abc"), max_size=24), st.lists(st.sampled_from("abc"), min_size=1, max_size=12), st.integers(2, 4))
 def test_tiles_against_plain_tiling(doc, item, seed):
-    bench = decontamination.Benchmark([1], [" ".join(item)], seed)
-    hits = bench.hits(pa.array([" ".join(doc)]))[0]
-    want = plain_tiles(doc, item, min(seed, len(item)))
-    assert sum(t["length"] for h in hits for t in h["tiles"]) == sum(t[2] for t in want)
+    bench = decontamination.Benchmark.of([1], [" ".join(item)], seed)
+    hits = bench.hits(pa.array([" ".join(doc)]), 0.0)[0]
+    want = plain_tiles(doc, item, min(seed, len(item)))[: None if len(item) >= seed else 1]
+    assert sorted((t["doc"], t["item"], t["length"]) for h in hits for t in h["tiles"]) == sorted(want)
+
+
+@pytest.mark.parametrize("runs", [1 << 21, 7])
+def test_tiles_of_many_items_in_blocks(runs, monkeypatch):
+    """The blocks that runs are laid out in change nothing."""
+    monkeypatch.setattr(decontamination, "RUNS", runs)
+    rng = random.Random(8)
+    word = lambda n: [rng.choice("aab cde".replace(" ", "")) for _ in range(n)]
+    items, docs = [word(rng.randrange(1, 14)) for _ in range(25)], [word(rng.randrange(0, 40)) for _ in range(12)]
+    got = decontamination.Benchmark.of(list(range(25)), [" ".join(i) for i in items]).hits(pa.array([" ".join(d) for d in docs]), 0.5)
+    for d, hits in zip(docs, got, strict=True):
+        covered = {n: sum(t[2] for t in plain_tiles(d, i, min(4, len(i)))[: None if len(i) >= 4 else 1]) / len(i) for n, i in enumerate(items)}
+        assert {h["item_id"]: h["coverage"] for h in hits} == {n: c for n, c in covered.items() if c >= 0.5}
+
+
+def test_repeated_words_make_runs_not_pairs():
+    began = time.perf_counter()
+    hits = decontamination.Benchmark.of([1], ["w " * 1_600]).hits(pa.array(["w " * 8_000, "w " * 30, "w"]))
+    assert [len(h) for h in hits] == [1, 0, 0] and hits[0][0]["coverage"] == 1.0 and time.perf_counter() - began < 1
+
+
+def test_decontamination_paths_agree(spark):
+    """Benchmarks that travel and those that are joined, hot seeds in one part and in many."""
+    rng = random.Random(9)
+    vocabulary = [f"v{i}" for i in range(12)]
+    text = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    bench = spark.createDataFrame([(i, text(rng.choice([2, 3, 5, 9, 16, 30]))) for i in range(80)] + [(5, None), (80, "")], "item_id long, text string")
+    docs = frame(spark, enumerate([text(rng.choice([0, 3, 30, 200])) for _ in range(60)] + [None, "v1 v2 " * 3_000])).drop("_hits")
+    rows = lambda df: sorted((r.doc_id, [(h.item_id, round(h.coverage, 9), h.tiles) for h in r._hits]) for r in df.collect())
+    travelled = rows(decontamination.with_hits(docs, bench))
+    assert travelled == rows(decontamination.with_hits(docs, bench, most=0)) and sum(len(h) for _, h in travelled) > 100
+    assert travelled == rows(decontamination._joined(docs, bench.where("text IS NOT NULL").distinct(), 4, 0.5, hot=3))
 
 
 ITEM = "one two three four five six. Seven eight nine ten eleven twelve thirteen, fourteen fifteen sixteen"
@@ -173,11 +206,11 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize("carried", [1 << 20, 0])
-def test_decontamination_both_ways(spark, carried):
+@pytest.mark.parametrize("most", [1 << 20, 0])
+def test_decontamination_both_ways(spark, most):
     bench = spark.createDataFrame([(1, ITEM, "x"), (2, "Tiny item", "x"), (3, None, "x"), (4, "", "x"), (1, ITEM, "y")], "item_id long, text string, _hits string")
     docs = frame(spark, [*enumerate(t for t, _ in CASES), (0, CASES[0][0])])
-    found = decontamination.with_hits(docs.drop("_hits"), bench, carried=carried).collect()
+    found = decontamination.with_hits(docs.drop("_hits"), bench, most=most).collect()
     assert len(found) == len(CASES) + 1
     for r in found:
         assert any(h.coverage >= 0.5 for h in r._hits) == CASES[r.doc_id][1]
