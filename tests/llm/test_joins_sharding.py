@@ -1,5 +1,6 @@
 """Jaccard join, decontamination, sharding and components against brute force."""
 
+import hashlib
 import random
 import time
 import zlib
@@ -10,6 +11,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from bookweave.llm import decontamination, graph, jaccard, sharding
 
@@ -281,3 +283,57 @@ def test_near_duplicates_are_dropped_by_row_not_by_id(spark):
     out = jaccard.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     want = [*((None, text(f"null{k}")) for k in range(5)), (None, ""), (None, None), (None, ""), (1, near), (2, text("own")), (3, text("a")), (3, text("b")), (4, ""), (4, ""), (4, text("c"))]
     assert sorted(map(str, (tuple(r) for r in out))) == sorted(map(str, want))
+
+
+def plain_shards(rows, shards):
+    """rows: (doc_id, text, source, lang). The shard of each text, by recursion over sorted lists."""
+    groups = {}
+    for i, t, source, lang in rows:
+        groups.setdefault(t or "", []).append((i, source, lang))
+    least = lambda values: min((v for v in values if v is not None), default=None)
+    found = {t: (len(t.encode()) + 1, least(x[1] for x in g), least(x[2] for x in g), least(x[0] for x in g) or 0) for t, g in groups.items()}
+    rank = lambda k: {v: n for n, v in enumerate(sorted({f[k] for f in found.values() if f[k] is not None}, key=lambda v: v.encode()), 1)} | {None: 0}
+    sources, langs = rank(1), rank(2)
+    units = [(t, (len(t.encode()) + 1) * len(groups[t]), (f[0], sources[f[1]], langs[f[2]], f[3]), hashlib.md5(t.encode()).hexdigest()) for t, f in found.items()]
+    span = lambda part, k: float(max(u[2][k] for u in part)) - float(min(u[2][k] for u in part))
+    whole = [span(units, k) for k in range(4)] if units else []
+    homes = {}
+
+    def split(part, first, count):
+        if count == 1 or not part:
+            homes.update({u[0]: first for u in part})
+            return
+        width = [span(part, k) / whole[k] if whole[k] else 0.0 for k in range(4)]
+        dim, total, upto, sides = width.index(max(width)), sum(u[1] for u in part), 0, ([], [])
+        for u in sorted(part, key=lambda u: (u[2][dim], u[3])):
+            upto += u[1]
+            sides[(2 * upto - u[1]) / 2 > total * (count // 2) / count].append(u)
+        split(sides[0], first, count // 2)
+        split(sides[1], first + count // 2, count - count // 2)
+
+    split(units, 0, shards)
+    return homes
+
+
+@pytest.mark.parametrize("shards", [1, 2, 7, 8, 1_300])
+def test_shards_against_a_plain_tree(spark, shards):
+    """Sources that share a long prefix, nulls, copies, extreme ids, and more nodes than rows of any list."""
+    rng = random.Random(shards)
+    texts = [None, "", *(" ".join(rng.choice("abcdé") * rng.randrange(1, 9) for _ in range(rng.randrange(1, 60))) for _ in range(1_500))]
+    rows = [(rng.choice([None, i, i, i]), t, rng.choice([None, *(f"wikipedia-long-name-{x}" for x in ("de", "en", "fr", "é"))]), rng.choice([None, "de", "en"])) for i, t in enumerate(texts + texts[:300])]
+    rows += [(-(2**63), "least id", "a", "b"), (2**63 - 1, "greatest id", "a", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").repartition(5)
+    got = sharding.shard_documents(docs, shards=shards).collect()
+    homes = plain_shards(rows, shards)
+    assert len(got) == len(rows) and all(r.shard == homes[r.text or ""] for r in got)
+
+
+def test_running_sums_over_many_tasks(spark):
+    rng = random.Random(5)
+    rows = [(rng.randrange(3), rng.randrange(50), i, rng.randrange(1, 9)) for i in range(3_000)]
+    got = sharding.running(spark.createDataFrame(rows, "g int, v long, i long, w long").repartition(7), "g", [F.col("v"), F.col("i")], "w").collect()
+    upto, want = Counter(), {}
+    for g, _, i, w in sorted(rows):
+        upto[g] += w
+        want[i] = upto[g]
+    assert {r.i: r.upto for r in got} == want
