@@ -67,18 +67,21 @@ def running(rows: DataFrame, group: str, order: list[Column], weight: str) -> Da
     return summed.join(carried(ends), [group, "_part"]).withColumn("upto", F.col("_ahead") + F.col("_in")).drop("_part", "_ahead", "_in")
 
 
-def ranked(rows: DataFrame, name: str) -> DataFrame:
-    """rows with column name as its dense rank among all its values, 0 for null."""
-    values = rows.where(F.col(name).isNotNull()).select(F.col(name).alias("_value"), F.lit(0).alias("_all"), F.lit(1).cast("long").alias("_one")).distinct()
-    places = running(values, "_all", [F.col("_value")], "_one").select("_value", F.col("upto").alias("_rank"))
-    found = rows.join(carried(places), F.col(name) == F.col("_value"), "left")
-    return found.select(*(F.coalesce("_rank", F.lit(0)).cast("long").alias(c) if c == name else F.col(c) for c in rows.columns))
+def ranked(rows: DataFrame, names: list[str]) -> DataFrame:
+    """rows with the named columns as dense ranks among all their values, 0 for null."""
+    each = F.explode(F.array(*(F.struct(F.lit(n).alias("_of"), F.col(c).alias("_value")) for n, c in enumerate(names)))).alias("v")
+    values = rows.select(each).select("v.*").where("_value IS NOT NULL").distinct().withColumn("_one", F.lit(1).cast("long"))
+    places = running(values, "_of", [F.col("_value")], "_one")
+    for n, c in enumerate(names):
+        mine = carried(places.where(F.col("_of") == n).select(F.col("_value").alias("_own"), F.col("upto").alias("_rank")))
+        rows = rows.join(mine, F.col(c) == F.col("_own"), "left").withColumn(c, F.coalesce("_rank", F.lit(0)).cast("long")).drop("_own", "_rank")
+    return rows
 
 
 def units(rows: DataFrame) -> DataFrame:
     """A row for each group of equal texts: key, weight and DIMS as whole numbers."""
     found = rows.groupBy("key").agg(F.sum("size").alias("weight"), F.max("size").alias("size"), F.min("source").alias("source"), F.min("lang").alias("lang"), F.coalesce(F.min("doc_id").cast("long"), F.lit(0)).alias("doc_id"))
-    return ranked(ranked(settle(found), "source"), "lang")
+    return ranked(settle(found), ["source", "lang"])
 
 
 def _widest(stats: DataFrame, root: list[float]) -> Column:
