@@ -2,10 +2,13 @@
 
 Entities are found by patterns and replaced by keyed values of their own type and format: digits by
 a keyed permutation of numbers of equal length (cards keep their Luhn remainder), address octets by
-a permutation of addresses, letters by letters of the same case and kind in the same script, known
-given names by names of the same gender and script. Titles, separators, prefixes of secrets, country
-codes and top-level domains stay. One entity has one surrogate everywhere, however it is written
-(``+1 (212) 555-0100`` and ``212-555-0100`` agree; ``Mr. Smith`` agrees with ``John Smith``).
+a permutation of addresses, letters by a keyed permutation of the texts of their format (letters of the same
+case and kind in the same script), known given names by names of the same gender and script, family names with
+endings for men and women by such names with the same ending. Titles, separators, prefixes of secrets, country
+codes, trunk zeros and top-level domains stay. One entity has one surrogate everywhere, however it is written
+(``+44 20 7946 0958`` and ``020 7946 0958`` agree, and so do ``Mr. Smith`` and ``John Smith``). A name that
+stands alone is replaced where its document has it with a title or a given name too. Long numbers are cards
+only with an issuer's length and beginning and a right check digit; others stay and don't count.
 
 All distinct entities meet in a collision check: where a surrogate equals its original, another
 original of its type or the surrogate of a lesser entity, the entity is keyed anew, until none does.
@@ -42,20 +45,33 @@ KINDS = ["aeiou", "bcdfghjklmnpqrstvwxyz", "áéíóúàèìòùâêîôûäëï
 #: Scripts without case whose letters stand for each other, by code points: Hebrew, Arabic (two runs), Devanagari, Thai, Georgian, Hiragana, Katakana, Han, Hangul.
 RANGES = [(0x5D0, 0x5EA), (0x621, 0x63A), (0x641, 0x64A), (0x905, 0x939), (0xE01, 0xE2E), (0x10D0, 0x10F0), (0x3041, 0x3096), (0x30A1, 0x30FA), (0x3400, 0x4DBF), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3)]
 
+# Words that begin sentences and are no second names, and the country codes of one and two digits.
+STOP = """A An And As At But By For From He Her Here His However I If In It Its My No Not Now Of On Or Our She So That The Their Then There These They This Those To We What When Where Which While Who Why With You Your
+Aber Als Das Dann Der Die Doch Ein Eine Er Es Ich Ihr Im In Ist Mit Nicht Oder Sie Und Von Wenn Wir Zu Avec Ce Ces Dans De Des Elle En Et Il Ils Je La Le Les Mais Nous Ou Pour Que Qui Sur Un Une Vous
+Como Con Cuando Del El Ella En Es Este La Las Los Muy No Para Pero Por Que Se Si Son Su Un Una Y А Без Был Была В Все Где Для До Его Ее Если Же За И Из Как Когда Мы На Не Но Он Она Они От По При С Так То Ты У Что Это Я""".split()
+CODES = r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}"
+ISSUED = r"^(?:4[0-9]{12}(?:[0-9]{3}){0,2}|(?:5[1-5]|2[2-7]|35)[0-9]{14}|3[47][0-9]{13}|3[0689][0-9]{12}|6[0-9]{15,18})$"
+#: Endings of family names, as men and women have them.
+ENDINGS = [(r"(ов|ев|ёв|ин|ын)а$", "$1"), (r"([сц]к)ая$", "$1ий"), (r"([oe]v)a$", "$1"), (r"([sc]k)a$", "$1i"), (r"(\p{L}{2})ová$", "$1")]
+ENDING = r"(ов|ев|ёв|ин|ын|ov|ev|[сц]кий|[sc]ki)$"
+#: Where a word begins and ends, in any script.
+_B, _E = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
+
 EMAIL = r"[\p{L}0-9._%+-]+@[\p{L}0-9-]+(?:\.[\p{L}0-9-]+)*\.\p{L}{2,}"
-AWS = r"\bAKIA[0-9A-Z]{16}\b"
+AWS = rf"{_B}AKIA[0-9A-Z]{{16}}{_E}"
 # What stands before the key word (client_secret, DB_PASSWORD) stays outside of the match.
 SECRET = r"""(?i:(?:password|passwd|pwd|secret|token|api[_-]?key)["']?\s{0,3}[=:]\s{0,3})["']?[^\s"']{6,}"""
-IPV4 = r"\b(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\b"
-IBAN = r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"
-SSN = r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b"
-CARD = r"\b[0-9](?:[ -]?[0-9]){12,18}\b"
-PHONE = r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|\b[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}\b|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,5}){2,4}\b"
-_NAME = r"\p{Lu}[\p{L}'’-]+"
-PERSON = rf"\b(?:(?:{'|'.join(TITLES)})\.?|(?:{'|'.join(CYRILLIC_TITLES)})) {_NAME}(?: {_NAME})?|\b(?:{'|'.join(n for names in GIVEN.values() for n in names)}) {_NAME}"
+IPV4 = rf"{_B}(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){{3}}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9]){_E}"
+IBAN = rf"{_B}[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{3,7}}(?: ?[A-Z0-9]{{1,3}})?{_E}"
+SSN = rf"{_B}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{_E}"
+CARD = rf"{_B}(?:[0-9]{{13,19}}|[0-9]{{4}}(?:[ -][0-9]{{4}}){{3}}(?:[ -][0-9]{{3}}(?!\.[0-9]))?|[0-9]{{4}}[ -][0-9]{{6}}[ -][0-9]{{4,5}}){_E}"
+PHONE = rf"(?:\+[0-9]{{1,3}}[ .-]?)?(?:\([0-9]{{2,4}}\)[ .-]?|{_B}[0-9]{{2,4}}[ .-])[0-9]{{3,4}}[ .-][0-9]{{3,4}}{_E}|\+[0-9]{{1,3}}(?:[ .-]?[0-9]{{2,5}}){{2,4}}{_E}"
+_NAME = r"\p{Lu}(?:\p{L}|-(?=\p{L})|['’](?=\p{Lu}))+"
+_SECOND = rf"(?!(?:{'|'.join(STOP)}){_E}){_NAME}"
+PERSON = rf"{_B}(?:(?:{'|'.join(TITLES)})\.?|(?:{'|'.join(CYRILLIC_TITLES)})) {_NAME}(?: {_SECOND})?|{_B}(?:{'|'.join(n for names in GIVEN.values() for n in names)}) {_SECOND}"
 ENTITY = "|".join(f"(?:{p})" for p in (EMAIL, SECRET, AWS, IPV4, IBAN, SSN, CARD, PHONE, PERSON))
 #: What every text with an entity has.
-HINT = r"[0-9@=:]|\b(?=[\p{Lu}г])(?:" + "|".join([*TITLES, *CYRILLIC_TITLES, *(n for names in GIVEN.values() for n in names)]) + r")\.? \p{Lu}"
+HINT = rf"[0-9@=:]|{_B}(?=[\p{{Lu}}г])(?:" + "|".join([*TITLES, *CYRILLIC_TITLES, *(n for names in GIVEN.values() for n in names)]) + r")\.? \p{Lu}"
 
 
 def kind(raw: Column) -> Column:
@@ -67,10 +83,18 @@ def kind(raw: Column) -> Column:
     return found.otherwise("PERSON")
 
 
+def _card(raw: Column) -> Column:
+    """Whether a long number has an issuer's form and a right check digit."""
+    digits = F.regexp_replace(raw, "[^0-9]", "")
+    return digits.rlike(ISSUED) & (_luhn(F.substr(digits, F.lit(1), F.length(digits) - 1)) == F.substr(digits, F.length(digits)).cast("int"))
+
+
 def _pieces(raw: Column) -> Column:
     """(type, raw) of what is replaced apart: a person's title and names, else the match."""
     word = lambda w: F.struct(_name_kind(w).alias("type"), w.alias("raw"))
-    return F.when(kind(raw) == "PERSON", F.transform(F.split(raw, " "), word)).otherwise(F.array(F.struct(kind(raw).alias("type"), raw.alias("raw"))))
+    found = kind(raw)
+    found = F.when((found == "CARD") & ~_card(raw), "KEEP").otherwise(found)
+    return F.when(found == "PERSON", F.transform(F.split(raw, " "), word)).otherwise(F.array(F.struct(found.alias("type"), raw.alias("raw"))))
 
 
 def _name_kind(word: Column) -> Column:
@@ -83,8 +107,12 @@ def _name_kind(word: Column) -> Column:
 def identity(type_: Column, raw: Column) -> Column:
     """What all ways to write an entity share."""
     digits = F.regexp_replace(raw, "[^0-9]", "")
-    bare = F.when((type_ == "PHONE") & digits.rlike("^1[0-9]{10}$"), F.substring(digits, 2, 10)).otherwise(digits)
-    return F.when(type_.isin("PHONE", "CARD", "SSN"), bare).when(type_ == "IBAN", F.replace(raw, F.lit(" "), F.lit(""))).when(type_.isin("EMAIL", "NAME"), F.lower(raw)).otherwise(raw)
+    national = F.regexp_replace(F.when(raw.startswith("+"), F.regexp_replace(digits, f"^(?:{CODES})", "")).otherwise(F.regexp_replace(digits, "^1(?=[0-9]{10}$)", "")), "^0+", "")
+    bare = F.when((type_ == "PHONE") & (F.length(national) >= 4), national).otherwise(digits)
+    family = F.lower(raw)
+    for ending, base in ENDINGS:
+        family = F.regexp_replace(family, ending, base)
+    return F.when(type_ == "NAME", family).when(type_.isin("PHONE", "CARD", "SSN"), bare).when(type_ == "IBAN", F.replace(raw, F.lit(" "), F.lit(""))).when(type_ == "EMAIL", F.lower(raw)).otherwise(raw)
 
 
 def _draw(key: str, below: Column, *parts: Column) -> Column:
@@ -110,10 +138,12 @@ def _power(n: Column) -> Column:
 def _digits(key: str, type_: Column, digits: Column, turn: Column) -> Column:
     """Digits of the same number; the whole is a permutation of the numbers of that length."""
     n = F.length(digits)
-    half = F.floor(n / 2).cast("int")
+    half = F.when(type_ == "PHONE", 1).otherwise(F.floor(n / 2)).cast("int")
+    zero = (type_ == "PHONE") & ~digits.startswith("0")  # national numbers begin with 1 to 9
     left, right = F.substr(digits, F.lit(1), half), F.substr(digits, half + 1)
-    out = _feistel(key, left.cast("long"), right.cast("long"), _power(half), _power((n - half).cast("int")), F.concat(type_, n.cast("string"), turn.cast("string")))
-    return F.concat(F.lpad(out["l"].cast("string"), half, F.lit("0")), F.lpad(out["r"].cast("string"), (n - half).cast("int"), F.lit("0")))
+    lead = F.when(zero, 1).otherwise(0).cast("long")
+    out = _feistel(key, left.cast("long") - lead, right.cast("long"), _power(half) - lead, _power((n - half).cast("int")), F.concat(type_, n.cast("string"), turn.cast("string")))
+    return F.concat(F.lpad((out["l"] + lead).cast("string"), half, F.lit("0")), F.lpad(out["r"].cast("string"), (n - half).cast("int"), F.lit("0")))
 
 
 def _luhn(digits: Column) -> Column:
@@ -146,13 +176,47 @@ def _each(text: Column, step, kinds: list[str] = KINDS, other=lambda c, low: c)
 
 
 def _letters(key: str, text: Column, *keys: Column, kinds: list[str] = KINDS) -> Column:
-    """Every letter and digit becomes one of the same kind and case; letters without a kind become Latin ones."""
+    """Every letter and digit becomes one of the same kind and case, by a keyed permutation of all texts of the same format; letters without a kind become Latin ones.
+
+    A Feistel network on the text's halves: the letters of one move on within their kinds by draws from the other's.
+    """
 
     def latin(c: Column, low: Column) -> Column:
         pick = F.substr(F.lit(KINDS[1]), (_draw(key, F.lit(len(KINDS[1])), F.lit("other"), c, *keys) + 1).cast("int"), F.lit(1))
         return F.when(c == low, pick).otherwise(F.upper(pick))
 
-    return _each(text, lambda place, size, i: _draw(key, F.lit(size), i, *keys), kinds, latin)
+    half = F.floor(F.length(text) / 2).cast("int")
+
+    def round_(cells: Column, places: Column, r: Column) -> Column:
+        first = r % 2 == 0
+        other = F.when(first, F.array_join(F.slice(places, half + 1, F.size(places) - half), ",")).otherwise(F.array_join(F.slice(places, F.lit(1), half), ","))
+
+        def move(said: Column, place: Column, i: Column) -> Column:
+            size = F.element_at(cells, i + 1)["size"]
+            return F.when(((i < half) == first) & (size > 0), F.pmod(place + _draw(key, size, r, i, said, *keys), size).cast("int")).otherwise(place)
+
+        return _let(other, lambda said: F.transform(places, lambda place, i: move(said, place, i)))
+
+    moved = lambda cells: F.aggregate(F.sequence(F.lit(0), F.lit(3)), F.transform(cells, lambda c: c["place"]), lambda places, r: round_(cells, places, r))
+    cells = F.transform(F.split(text, ""), lambda c: _cell(c, kinds))
+    return _let(_let(cells, moved), lambda places: _each(text, lambda place, size, i: F.element_at(places, i + 1), kinds, latin))
+
+
+def _let(value: Column, body) -> Column:
+    """body of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _cell(c: Column, kinds: list[str]) -> Column:
+    """(place, size): where a character stands in its kind, and the kind's size; 0 where it has none."""
+    low, code = F.lower(c), F.ascii(c)
+    place, size = F.lit(0), F.lit(0)
+    for a, b in RANGES:
+        place, size = F.when(code.between(a, b), code - a).otherwise(place), F.when(code.between(a, b), b - a + 1).otherwise(size)
+    for letters in reversed(kinds):
+        inside = F.lit(letters).contains(low)
+        place, size = F.when(inside, F.position(low, F.lit(letters)) - 1).otherwise(place), F.when(inside, len(letters)).otherwise(size)
+    return F.struct(place.cast("int").alias("place"), size.cast("int").alias("size"))
 
 
 def _format(text: Column) -> Column:
@@ -180,14 +244,20 @@ def _mask(entity: Column) -> Column:
 
 def _parts(type_: Column, entity: Column) -> tuple[Column, Column, Column]:
     """What stays before, what is turned, what stays after."""
-    hidden, mail = type_.isin("SECRET", "AWS", "IBAN"), type_ == "EMAIL"
+    hidden = type_.isin("SECRET", "AWS", "IBAN")
     head = F.when(hidden, F.regexp_extract(entity, _HIDDEN, 1)).otherwise("")
-    tail = F.when(mail, F.regexp_extract(entity, r"(\.[^.]*)$", 1)).otherwise("")
+    tail = F.when(type_ == "EMAIL", F.regexp_extract(entity, r"(\.[^.]*)$", 1)).when(type_ == "NAME", _ending(entity)).otherwise("")
     return head, F.substr(entity, F.length(head) + 1, F.length(entity) - F.length(head) - F.length(tail)), tail
 
 
+def _ending(name: Column) -> Column:
+    """The ending that a family name keeps; two letters stand before it at least."""
+    found = F.regexp_extract(name, ENDING, 1)
+    return F.when(F.length(name) >= F.length(found) + 2, found).otherwise("")
+
+
 def surrogate(key: str, type_: Column, entity: Column, turn: Column) -> Column:
-    """The surrogate of an entity in the turn-th keying, written as its identity is."""
+    """The surrogate of an entity in the turn-th keying, written as its identity is; on entities of one format a permutation, but for given names."""
     base = F.substr(entity, F.lit(1), F.length(entity) - 1)
     body = _digits(key, type_, base, turn)
     last = F.pmod(_luhn(body) + F.substr(entity, F.length(entity)).cast("int") - _luhn(base), F.lit(10))
@@ -196,22 +266,25 @@ def surrogate(key: str, type_: Column, entity: Column, turn: Column) -> Column:
     address = _feistel(key, pair(0), pair(2), F.lit(1 << 16), F.lit(1 << 16), F.concat(F.lit("ip"), turn.cast("string")))
     dotted = F.concat_ws(".", *(F.floor(address[h] / d).cast("long") % 256 for h in ("l", "r") for d in (256, 1)))
     domain = F.regexp_extract(entity, r"@(.*)\.[^.]*$", 1)
-    mail = F.concat(_letters(key, F.regexp_extract(entity, "^([^@]*)@", 1), F.lit("local"), entity, turn), F.lit("@"), _letters(key, domain, F.lit("domain"), domain, F.lit(0)), F.regexp_extract(entity, r"(\.[^.]*)$", 1))
-    value = F.regexp_extract(entity, _HIDDEN, 2)
-    hidden = F.when(value.rlike("^[0-9a-f]+$"), _letters(key, value, type_, entity, turn, kinds=["abcdef", "0123456789"])).otherwise(_letters(key, value, type_, entity, turn))
-    hidden = F.concat(F.regexp_extract(entity, _HIDDEN, 1), hidden)
+    mail = F.concat(_letters(key, F.regexp_extract(entity, "^([^@]*)@", 1), F.lit("local"), domain, turn), F.lit("@"), _letters(key, domain, F.lit("domain")), F.regexp_extract(entity, r"(\.[^.]*)$", 1))
+    start, value = F.regexp_extract(entity, _HIDDEN, 1), F.regexp_extract(entity, _HIDDEN, 2)
+    hidden = F.when(value.rlike("^[0-9a-f]+$"), _letters(key, value, type_, start, turn, kinds=["abcdef", "0123456789"])).otherwise(_letters(key, value, type_, start, turn))
+    hidden = F.concat(start, hidden)
     found = F.when(type_ == "CARD", F.concat(body, last.cast("string"))).when(type_.isin("PHONE", "SSN"), _digits(key, type_, entity, turn))
     found = found.when(type_ == "IPV4", dotted).when(type_ == "EMAIL", mail).when(type_.isin("SECRET", "AWS", "IBAN"), hidden)
     for name, names in GIVEN.items():
         pool = F.array(*map(F.lit, names))
         pick = lambda i, pool=pool, names=names: F.element_at(pool, (_draw(key, F.lit(len(names)), F.lit("given"), entity, turn, F.lit(i)) + 1).cast("int"))
         found = found.when(type_ == name, F.when(turn == 0, pick(0)).otherwise(F.concat(pick(0), F.lit("-"), pick(1))))
-    return found.otherwise(_letters(key, entity, type_, entity, turn))
+    _, stem, ending = _parts(type_, entity)
+    return found.otherwise(F.concat(_letters(key, stem, type_, ending, turn), ending))
 
 
 def written(type_: Column, raw: Column, value: Column) -> Column:
     """The surrogate in the format of the original."""
-    digits = F.regexp_replace(raw, "[^0-9]", "")
+    digits, low = F.regexp_replace(raw, "[^0-9]", ""), F.lower(raw)
+    if_family = F.when(low.rlike("(?:ов|ев|ёв|ин|ын)а$"), F.concat(value, F.lit("а"))).when(low.rlike("[oe]va$"), F.concat(value, F.lit("a"))).when(low.rlike("[сц]кая$"), F.regexp_replace(value, "ий$", "ая")).when(low.rlike("[sc]ka$"), F.regexp_replace(value, "i$", "a")).when(low.rlike(r"\p{L}{2}ová$"), F.concat(value, F.lit("ová")))
+    value = F.when((type_ == "NAME") & (identity(type_, raw) != low), if_family).otherwise(value)
     fill = F.when(type_.isin("PHONE", "CARD", "SSN"), F.concat(F.substr(digits, F.lit(1), F.length(digits) - F.length(value)), value)).otherwise(value)
 
     def step(s: Column, c: Column) -> Column:
@@ -224,13 +297,13 @@ def written(type_: Column, raw: Column, value: Column) -> Column:
     return F.when(type_ == "KEEP", raw).when(type_.isin("IPV4", "SECRET", "AWS", *GIVEN), value).otherwise(folded)
 
 
-def settle_collisions(entities: DataFrame, key: str, rounds: int = 20, strict: int = 6) -> DataFrame:
+def settle_collisions(entities: DataFrame, key: str, rounds: int = 10, strict: int = 6) -> DataFrame:
     """entities: distinct type, entity. Adds value, distinct within each type and unlike its original (and, in the first rounds, unlike any)."""
     entities = settle(entities.select("type", "entity"))
-    type_, entity = F.col("type"), F.col("entity")
+    type_, entity, value = F.col("type"), F.col("entity"), surrogate(key, F.col("type"), F.col("entity"), F.col("turn"))
     fixed = entities.where(masked(type_, entity)).select("type", "entity", _mask(entity).alias("value"))
     entities = entities.where(~masked(type_, entity))
-    rows = settle(entities.withColumn("turn", F.lit(0)).withColumn("value", surrogate(key, F.col("type"), F.col("entity"), F.col("turn"))).withColumn("free", F.lit(False)))
+    rows = settle(entities.withColumn("turn", F.lit(0)).withColumn("value", value).withColumn("free", F.lit(False)))
     for turn in range(1, rounds + 1):
         originals = rows.select(F.col("type").alias("_t"), F.col("entity").alias("_e"))
         order = Window.partitionBy("type", "value").orderBy(F.desc("free"), "turn", "entity")
@@ -242,7 +315,7 @@ def settle_collisions(entities: DataFrame, key: str, rounds: int = 20, strict: i
         checked = settle(met.select("type", "entity", "turn", "value", (~clash).alias("free")))
         if checked.where("NOT free").isEmpty():
             return checked.select("type", "entity", "value").union(fixed)
-        again = checked.where("NOT free").withColumn("turn", F.lit(turn)).withColumn("value", surrogate(key, F.col("type"), F.col("entity"), F.col("turn")))
+        again = checked.where("NOT free").withColumn("turn", F.lit(turn)).withColumn("value", value)
         rows = settle(checked.where("free").union(again))
     head, middle, tail = _parts(type_, entity)
     shaped = settle(checked.select("type", "entity", "value", "free", F.md5(F.concat_ws("\x1f", head, _format(middle), tail)).alias("_shape")))
@@ -262,17 +335,27 @@ def replace_entities(docs: DataFrame, key: str = "example-key") -> DataFrame:
     places = settle(places.distinct())
     values = settle_collisions(places.where("type <> 'KEEP'").select("type", "entity").distinct(), key)
     done = places.join(values, ["type", "entity"], "left")
-    done = done.select("_key", "i", "j", written(F.col("type"), F.col("raw"), F.col("value")).alias("new"))
-    done = done.groupBy("_key", "i").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("j", "new"))), lambda x: x["new"]), " ").alias("new"))
-    done = done.groupBy("_key").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "new"))), lambda x: x["new"]).alias("_new")).withColumnRenamed("_key", "_met")
+    done = done.select("_key", "i", "j", "type", "raw", written(F.col("type"), F.col("raw"), F.col("value")).alias("new"))
+    name = F.when(F.col("type").isin("NAME", *GIVEN), F.struct("raw", "new"))
+    done = done.groupBy("_key", "i").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("j", "new"))), lambda x: x["new"]), " ").alias("new"), F.collect_list(name).alias("names"), F.max((F.col("type") != "KEEP").cast("int")).alias("n"))
+    done = done.groupBy("_key").agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "new"))), lambda x: x["new"]).alias("_new"), F.array_distinct(F.flatten(F.collect_list("names"))).alias("_names"), F.sum("n").cast("int").alias("_n")).withColumnRenamed("_key", "_met")
     joined = boxed(docs.where(may), "text", F.md5("text").alias("_key")).join(done, F.col("_key") == F.col("_met"), "left")
-    between = F.split(text, ENTITY, -1)
+    between = F.transform(F.split(text, ENTITY, -1), lambda part: F.when(F.size("_names") > 0, renamed(part, F.col("_names"))).otherwise(part))
     woven = F.array_join(F.flatten(F.zip_with(between, F.concat("_new", F.array(F.lit(""))), lambda a, b: F.array(a, b))), "")
     new = F.when(F.col("_new").isNull(), text).otherwise(woven)
     kept = [c for c in docs.columns if c != "n_entities"]
-    changed = joined.select(*(new.alias(c) if c == "text" else F.col(f"_row.`{c}`") for c in kept), F.coalesce(F.size("_new"), F.lit(0)).alias("n_entities"))
+    changed = joined.select(*(new.alias(c) if c == "text" else F.col(f"_row.`{c}`") for c in kept), F.coalesce("_n", F.lit(0)).alias("n_entities"))
     return changed.union(docs.where(~may).select(*(F.col(f"`{c}`") for c in kept), F.lit(0).alias("n_entities")))
 
 
+def renamed(part: Column, names: Column) -> Column:
+    """part with the names that stand alone in it replaced; names: array of (raw, new)."""
+    capitals = F.transform(names, lambda x: F.struct(F.upper(x["raw"]).alias("raw"), F.upper(x["new"]).alias("new")))
+    known = F.array_distinct(F.concat(names, F.filter(capitals, lambda x: ~F.exists(names, lambda y: y["raw"] == x["raw"]))))
+    table = F.map_from_entries(known)
+    word = r"(?<=\p{L})(?!\p{L}|-\p{L}|['’]\p{Lu})|(?<!\p{L}|\p{L}-|\p{L}['’])(?=\p{Lu})"
+    return F.array_join(F.transform(F.split(part, word, -1), lambda w: F.coalesce(F.try_element_at(table, w), w)), "")
+
+
 def op1_surrogates(docs: DataFrame) -> DataFrame:
     return replace_entities(docs.select("doc_id", "text"))

@@ -144,7 +144,7 @@ def test_surrogates_of_a_used_up_format(spark):
     names = [c + v for c in surrogates.KINDS[1] for v in surrogates.KINDS[0]] + [c + v + "n" for c in "bcd" for v in "ae"]
     mails = [f"{v}@{d}.de" for v in surrogates.KINDS[0] for d in ("ab", "ec", "ib")]
     rows = [("NAME", n) for n in names] + [("EMAIL", m) for m in mails] + [("SECRET", "token=......")]
-    for rounds in (1, 20):
+    for rounds in (1, 8):
         out = surrogates.settle_collisions(spark.createDataFrame(rows, "type string, entity string"), "k", rounds).collect()
         assert sorted((r.type, r.entity) for r in out) == sorted(rows)
         assert len({(r.type, r.value) for r in out}) == len(rows) and all(r.value != r.entity for r in out)
@@ -165,3 +165,56 @@ def test_secrets_after_a_prefix_or_in_json(spark):
     for i, form in enumerate(forms):
         new = re.fullmatch(form, out[i].text)
         assert new and new[1] not in texts[i] and out[i].n_entities == 1
+
+
+def test_surrogates_of_names_numbers_and_codes(spark):
+    texts = [
+        "Mr. John Smith came. John said Smith was late; SMITH's dog and Smith-Jones. Smithson and Mary stay.",
+        "call +44 20 7946 0958 or 020 7946 0958, +1 (212) 555-0100, +7 495 123-45-67, +380 44 123 4567",
+        "order 1234567890123456 at 20240131120000 card 4111 1111 1111 1111 42.73.240.87 and 4495589438270767 42.73.240.87 x",
+        "Dr Smith However the end. господин Иванов и госпожа Иванова, Мария Достоевская, Иван Достоевский, Иванов пришёл",
+        "Frau Nováková; Herr Novák, Mme Kowalska, Mr. O'Brien's car, O'Brien left",
+        "Smith alone has no title here",
+    ]
+    out = {r.doc_id: r for r in surrogates.replace_entities(frame(spark, enumerate(texts))).collect()}
+    t = [out[i].text for i in range(6)]
+    a = re.fullmatch(r"Mr\. ([\w-]+) (\w{5}) came\. \1 said \2 was late; ([A-Z]{5})'s dog and Smith-Jones\. Smithson and Mary stay\.", t[0])
+    assert a and a[2] != "Smith" and a[3] == a[2].upper() and set(a[1].split("-")) <= set(surrogates.GIVEN["GIVEN_M"])
+    b = re.fullmatch(r"call \+44 ([1-9]\d) (\d{4}) (\d{4}) or 0\1 \2 \3, \+1 \([1-9]\d\d\) \d{3}-\d{4}, \+7 [1-9]\d\d \d{3}-\d\d-\d\d, \+380 [1-9]\d \d{3} \d{4}", t[1])
+    assert b and b.groups() != ("20", "7946", "0958")
+    c = re.fullmatch(r"order 1234567890123456 at 20240131120000 card (\d{4} \d{4} \d{4} \d{4}) ([\d.]+) and (\d{16}) \2 x", t[2])
+    assert c and luhn(c[1].replace(" ", "")) == luhn(c[3]) == 0 and c[2] != "42.73.240.87" and out[2].n_entities == 4
+    d = re.fullmatch(r"Dr (\w{5}) However the end\. господин (\w+ов) и госпожа \2а, [\w-]+ (\w+ск)ая, [\w-]+ \3ий, \2 пришёл", t[3])
+    assert d and d[1] == a[2] and d[2] != "Иванов" and d[3] != "Достоевск"
+    e = re.fullmatch(r"Frau (\w{5})ová; Herr \1, Mme (\w+)ska, Mr\. (\w'\w{5})'s car, \3 left", t[4])
+    assert e and e[1] != "Novák" and e[3] != "O'Brien"
+    assert t[5] == texts[5] and out[5].n_entities == 0
+
+
+def test_letters_are_permuted_within_a_format(spark):
+    """All texts of a format go to all texts of it, whatever their length."""
+    from itertools import product
+
+    texts = ["".join(p) for p in product("aei", "bc", "о", "12")] + ["a", "e", "i", "o", "u"] + ["".join(p) for p in product("aeiou", "aeiou")]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", surrogates._letters("k", F.col("t"), F.lit("x")).alias("v"), surrogates._format(F.col("t")).alias("f"), surrogates._format(surrogates._letters("k", F.col("t"), F.lit("x"))).alias("g")).collect()
+    assert len({r.v for r in rows}) == len(texts) and all(r.f == r.g for r in rows) and sum(r.v != r.t for r in rows) > len(texts) / 2
+    assert {r.v for r in rows if len(r.t) == 2} == {r.t for r in rows if len(r.t) == 2}
+
+
+def test_surrogates_against_a_plain_scan(spark):
+    """Every planted form of the documents, found by plain patterns: what stands between stays, and entities map one to one."""
+    plain = re.compile(r"[a-z]+\.\d\d@mail\d\.example\.com|\+1 \(\d{3}\) 555-\d{4}|(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w.])|(?<!\w)4\d{15}(?!\w)|AKIA[0-9A-Z]{16}|password=[0-9a-f]{18}|token = \"[0-9a-f]{40}")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    out = {r.doc_id: r for r in surrogates.op1_surrogates(docs).collect()}
+    pairs, touched = {}, 0
+    for r in docs.collect():
+        found, new = plain.findall(r.text), out[r.doc_id]
+        assert new.n_entities == len(found)
+        between = plain.split(r.text)
+        form = re.fullmatch("(.*)".join(map(re.escape, between)), new.text, re.DOTALL)
+        assert form and all(re.fullmatch(re.sub(r"[a-z]+", "[a-z]+", re.sub(r"\d", r"\\d", re.escape(a))) if "@" in a else ".+", b) for a, b in zip(found, form.groups(), strict=True))
+        touched += bool(found)
+        for a, b in zip(found, form.groups(), strict=True):
+            assert a != b and pairs.setdefault(a, b) == b
+            assert not re.fullmatch(r"4\d{15}", a) or luhn(b) == 0
+    assert touched > 20 and len(set(pairs.values())) == len(pairs)
