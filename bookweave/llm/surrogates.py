@@ -50,7 +50,7 @@ STOP = """A An And As At But By For From He Her Here His However I If In It Its
 Aber Als Das Dann Der Die Doch Ein Eine Er Es Ich Ihr Im In Ist Mit Nicht Oder Sie Und Von Wenn Wir Zu Avec Ce Ces Dans De Des Elle En Et Il Ils Je La Le Les Mais Nous Ou Pour Que Qui Sur Un Une Vous
 Como Con Cuando Del El Ella En Es Este La Las Los Muy No Para Pero Por Que Se Si Son Su Un Una Y А Без Был Была В Все Где Для До Его Ее Если Же За И Из Как Когда Мы На Не Но Он Она Они От По При С Так То Ты У Что Это Я""".split()
 CODES = r"1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3}"
-ISSUED = r"^(?:4[0-9]{12}(?:[0-9]{3}){0,2}|(?:5[1-5]|2[2-7]|35)[0-9]{14}|3[47][0-9]{13}|3[0689][0-9]{12}|6[0-9]{15,18})$"
+ISSUED = r"^(?:4[0-9]{12}(?:[0-9]{3}){0,2}|(?:5[1-5]|2[2-7]|35)[0-9]{14}|3[47][0-9]{13}|3[0689][0-9]{12}|(?=6(?:011|4[4-9]|5|2))[0-9]{16,19})$"
 #: Endings of family names, as men and women have them.
 ENDINGS = [(r"(ов|ев|ёв|ин|ын)а$", "$1"), (r"([сц]к)ая$", "$1ий"), (r"([oe]v)a$", "$1"), (r"([sc]k)a$", "$1i"), (r"(\p{L}{2})ová$", "$1")]
 ENDING = r"(ов|ев|ёв|ин|ын|ov|ev|[сц]кий|[sc]ki)$"
