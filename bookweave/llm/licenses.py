@@ -1,15 +1,17 @@
 """Licence scans: sparse TF-IDF cosine to templates, then inheritance from the nearest directory above.
 
-Around each word that speaks of licences, the rest of its line and of its paragraph (up to a window of
-words) are segments, met by short notices. Wherever words run as in a header block or licence text, across
+Around each word that speaks of licences, words run on as in a short notice: all of them words of the notices, or
+with a few others between. These runs, cut at the line's and at the paragraph's ends, are segments, met by
+short notices and SPDX tags; a tag's identifier must be the template's own, word by word. Wherever words run as in a header block or licence text, across
 line ends and whatever the marks between, the whole stretch is a body, met by headers and full texts. A
 segment or body and a template become sparse vectors of words and word pairs, weighed by how rare they are in
 all documents; the template of greatest cosine names the licence if it reaches the threshold. Files that have
 no licence of their own take that of the nearest directory, their own first and then its ancestors, that
-holds a licence file with a known licence.
+holds a licence file with a known licence: a file by such a name, or one that is a licence text for the most part.
+Only real paths count: tables without a column ``path`` inherit nothing.
 
 Null and empty texts have no segments. Ties go to the first template; of a directory's licence files the
-best scored one counts, then the least path. A null path inherits nothing. Equal rows get equal results;
+best scored one counts, then the least path. A null path inherits nothing and passes nothing on. Equal rows get equal results;
 extra columns play no part.
 """
 
@@ -26,17 +28,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bookweave.llm import textkit
-from bookweave.llm.common import settle, word_count
+from bookweave.llm.common import CARRIED, carried, settle
 from bookweave.llm.decontamination import BREAK, tokens
 from bookweave.llm.license_texts import TEXTS
 
-THRESHOLD, BEFORE, AFTER = 0.5, 16, 32
+THRESHOLD = 0.5
+#: Other words that may stand between two words of a notice.
+BETWEEN = 3
 #: Words of a run that marks a body, words between two runs of one body, and covered words of the least body.
 SEED, GAP, LEAST = 5, 24, 8
 #: Share of a document's words in bodies from which it is a licence file.
 COVERED = 0.5
-#: Directories up to which what they inherit travels to all tasks.
-CARRIED = 200_000
 # Usual notices of common licences.
 TEMPLATES = [
     ("MIT", "Released under the MIT License."),
@@ -56,8 +58,11 @@ TEMPLATES = [
     ("ISC", "Released under the ISC License."),
     ("Unlicense", "Released into the public domain under the Unlicense license."),
 ]
-ANCHORS = "license licence licensed licenced licenses licences licensing copyright unlicense".split()
+TEMPLATES += [(name, f"SPDX-License-Identifier: {name}") for name in dict.fromkeys(n for n, _ in TEMPLATES)]
+TAG = re.compile(r"SPDX-License-Identifier:\s*\(?\s*([A-Za-z0-9.+-]+)", re.IGNORECASE)
+ANCHORS = "spdx license licence licensed licenced licenses licences licensing copyright unlicense".split()
 FILES = r"(?i)(?:^|/)(?:licen[sc]e|copying|unlicense|notice)[^/]*$"
+LINE = re.compile(rb"\n")
 BLANK = re.compile(rb"\n[^0-9A-Za-z\x80-\xff\n]*(?=\n)")
 TOKEN = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+")
 
@@ -76,19 +81,20 @@ VOCABULARY = sorted({w for _, t in TEMPLATES + TEXTS for w in terms(t) if " " no
 
 
 @cache
-def _keys() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the anchors, of the vocabulary (and its order), of the runs of words in header blocks and licence texts, and a filter for these."""
+def _keys() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the anchors, of the vocabulary (and its order), of the runs of words in header blocks and licence texts, a filter for these, and of the notices' words."""
     vocabulary = _hash_words(VOCABULARY)
     seeds = [textkit.shingles(*tokens(data, offsets), SEED)[0] for _, _, data, offsets in textkit.runs(pa.array([t for _, t in TEXTS]))]
     seeds = np.unique(np.concatenate(seeds))
     maybe = np.zeros(1 << 20, bool)
     maybe[(seeds >> np.uint64(44)).astype(np.int64)] = True
-    return np.sort(_hash_words(ANCHORS)), vocabulary, np.argsort(vocabulary), seeds, maybe
+    notices = sorted({w for _, t in TEMPLATES for w in terms(t) if " " not in w})
+    return np.sort(_hash_words(ANCHORS)), vocabulary, np.argsort(vocabulary), seeds, maybe, np.sort(_hash_words(notices))
 
 
 def _bodies(word: np.ndarray, doc: np.ndarray) -> tuple[list[tuple[int, int]], np.ndarray]:
     """(first word, last word) of each body, and whether a word is covered by a run of one."""
-    _, _, _, seeds, maybe = _keys()
+    _, _, _, seeds, maybe, _ = _keys()
     covered = np.zeros(len(word), bool)
     n = len(word) - SEED + 1
     if n <= 0:
@@ -111,9 +117,21 @@ def _bodies(word: np.ndarray, doc: np.ndarray) -> tuple[list[tuple[int, int]], n
     return out, covered
 
 
+def _stretches(word: np.ndarray, doc: np.ndarray, notices: np.ndarray, anchors: np.ndarray) -> list[tuple[int, int]]:
+    """(first word, last word) of the runs of notice words that hold an anchor: without other words between, and with a few."""
+    known = np.flatnonzero(np.isin(word, notices))
+    out = set()
+    for gap in (0, BETWEEN):
+        new = np.flatnonzero(np.r_[True, (np.diff(known) > gap + 1) | (np.diff(doc[known]) != 0)]) if len(known) else known
+        for a, b in zip(known[new], known[np.r_[new[1:] - 1, len(known) - 1]] if len(known) else [], strict=True):
+            if np.isin(word[a : b + 1], anchors).any():
+                out.add((int(a), int(b)))
+    return sorted(out)
+
+
 def segments(column: pa.Array) -> tuple[list[list[str]], list[list[str]], list[float], list[list[int]]]:
     """The segments and bodies of each text, the share of its words that bodies cover, and which words of the vocabulary it has."""
-    anchors, vocabulary, order, _, _ = _keys()
+    anchors, vocabulary, order, _, _, notices = _keys()
     found: list[list[str]] = []
     long: list[list[str]] = []
     share: list[float] = []
@@ -133,22 +151,16 @@ def segments(column: pa.Array) -> tuple[list[list[str]], list[list[str]], list[f
             whole[doc[a]].append(data[starts[a] : ends[b]].tobytes().decode("utf-8", "replace"))
         total = np.r_[0, np.cumsum(covered)]
         share += ((total[first[1:]] - total[first[:-1]]) / np.maximum(np.diff(first), 1)).tolist()
-        past = 0  # the end of the last segment
-        for i in np.flatnonzero(np.isin(word, anchors)).tolist():
-            d = int(doc[i])
-            a, b = starts[max(first[d], i - BEFORE)], ends[min(first[d + 1] - 1, i + AFTER)]
-            if starts[i] < past:
-                continue
-            raw, at = data[a:b].tobytes(), int(starts[i] - a)
-            left = raw.rfind(b"\n", 0, at) + 1
-            right = raw.find(b"\n", at)
-            line = raw[left:] if right < 0 else raw[left:right]
-            past = a + left + len(line)
-            some[d].append(line.decode("utf-8", "replace"))
-            breaks = [m.end() for m in BLANK.finditer(raw)]
-            paragraph = raw[max((x for x in breaks if x <= at), default=0) : min((x for x in breaks if x > at), default=len(raw))].decode("utf-8", "replace")
-            if len(terms(paragraph)) > len(terms(some[d][-1])):
-                some[d].append(paragraph)
+        for i, j in _stretches(word, doc, notices, anchors):
+            d, at, raw = int(doc[i]), int(starts[i]), data[starts[i] : ends[j]].tobytes()
+            anchor = [int(x) - at for x in starts[i : j + 1][np.isin(word[i : j + 1], anchors)]]
+            for breaks in (LINE, BLANK):
+                cuts = [0, *(m.end() for m in breaks.finditer(raw)), len(raw)]
+                for x, y in zip(cuts, cuts[1:], strict=False):
+                    if any(x <= n < y for n in anchor):
+                        part = raw[x:y].decode("utf-8", "replace")
+                        if part not in some[d]:
+                            some[d].append(part)
         found += some
         long += whole
     return found, long, share, words
@@ -170,8 +182,10 @@ class Matcher:
     def best(self, texts: list[str]) -> tuple[str | None, float]:
         out: tuple[str | None, float] = (None, 0.0)
         for text in texts:
-            v = self.vector(text)
+            v, tag = self.vector(text), TAG.search(text)
             for name, template in self.templates:
+                if ("spdx" in template) != bool(tag) or (tag and re.sub(r"(?i)(-only|-or-later|\+)$", "", tag[1]).rstrip(".").lower() != name.lower()):
+                    continue
                 cosine = sum(x * template.get(t, 0.0) for t, x in v.items())
                 if cosine > out[1] + 1e-12:
                     out = name, cosine
@@ -189,26 +203,23 @@ def measured(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_m", scanned(F.col("text").cast("string")))
 
 
-def inherit(files: DataFrame) -> DataFrame:
-    """files: path, license, score and any others. Adds inherited and inherited_from, the nearest directory's licence."""
+def inherit(files: DataFrame, most: int = CARRIED) -> DataFrame:
+    """files: path, license, score, whole (a licence text for the most part) and any others. Adds inherited and inherited_from, the nearest directory's licence."""
     folder = F.regexp_replace("path", "/?[^/]*$", "")
     files = files.withColumn("_dir", folder)
-    known = files.where(F.col("path").rlike(FILES) & F.col("license").isNotNull())
+    known = files.where((F.col("path").rlike(FILES) | F.col("whole")) & F.col("license").isNotNull())
     homes = known.groupBy(F.col("_dir").alias("_home")).agg(F.min(F.struct((-F.col("score")).alias("s"), "path", "license")).alias("_l"))
     parts = F.split("_dir", "/")
     above = F.concat(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/")), F.array(F.lit("")))
     dirs = files.where("_dir IS NOT NULL").select("_dir").distinct()
     up = dirs.select("_dir", F.explode(F.array_distinct(above)).alias("_home"))
     nearest = up.join(homes, "_home").groupBy(F.col("_dir").alias("_of")).agg(F.max(F.struct(F.length("_home").alias("n"), "_home", F.col("_l.license").alias("license"))).alias("_near"))
-    nearest = settle(nearest)
-    if nearest.count() <= CARRIED:  # else the join meets by exchange
-        nearest = F.broadcast(nearest)
-    return files.join(nearest, F.col("_dir") == F.col("_of"), "left").withColumn("inherited", F.col("_near.license")).withColumn("inherited_from", F.col("_near._home")).drop("_dir", "_of", "_near")
+    return files.join(carried(settle(nearest), most), F.col("_dir") == F.col("_of"), "left").withColumn("inherited", F.col("_near.license")).withColumn("inherited_from", F.col("_near._home")).drop("_dir", "_of", "_near")
 
 
 def scan(docs: DataFrame, path: Column, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, path, license, score, origin (own, inherited or null) and inherited_from; path may use _m and n_words."""
-    rows = settle(measured(docs.withColumn("n_words", word_count(F.col("text")))).withColumn("_path", path).select("doc_id", F.col("_path").alias("path"), "_m"))
+    """doc_id, path, license, score, origin (own, inherited or null) and inherited_from."""
+    rows = settle(measured(docs.select("doc_id", path.cast("string").alias("_path"), "text")).select("doc_id", F.col("_path").alias("path"), "_m"))
     frequency = {VOCABULARY[r.w]: r.n for r in rows.select(F.explode("_m.words").alias("w")).groupBy("w").agg(F.count("*").alias("n")).collect()}  # a row for each word of the templates
     total = rows.count()
 
@@ -221,19 +232,13 @@ def scan(docs: DataFrame, path: Column, threshold: float = THRESHOLD) -> DataFra
             best.append(max(pairs, key=lambda b: round(b[1], 9)))
         return pa.StructArray.from_arrays([pa.array([b[0] if b[1] >= threshold else None for b in best], pa.string()), pa.array([round(b[1], 9) for b in best], pa.float64())], ["license", "score"])
 
-    own = settle(rows.withColumn("b", matched("_m.segments", "_m.bodies")).select("doc_id", "path", "b.license", "b.score"))
+    own = settle(rows.withColumn("b", matched("_m.segments", "_m.bodies")).select("doc_id", "path", "b.license", "b.score", (F.col("_m.share") >= COVERED).alias("whole")))
     found = inherit(own)
     origin = F.when(F.col("license").isNotNull(), "own").when(F.col("inherited").isNotNull(), "inherited")
     from_ = F.when(F.col("license").isNull(), F.col("inherited_from"))
     return found.select("doc_id", "path", F.coalesce("license", "inherited").alias("license"), "score", origin.alias("origin"), from_.alias("inherited_from"))
 
 
-def document_path() -> Column:
-    """A path for rows of documents: source, language, and a licence file's name where the text is little more than a notice, or bodies cover half of it, however long it is."""
-    notice = (F.size("_m.segments") > 0) & (F.col("n_words") <= 24)
-    name = F.when(notice | (F.col("_m.share") >= COVERED), F.concat(F.lit("LICENSE-"), F.col("doc_id").cast("string"))).otherwise(F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
-    return F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")), name)
-
-
 def op9_licenses(docs: DataFrame) -> DataFrame:
-    return scan(docs.select("doc_id", "text", "source", "lang"), document_path())
+    """The scan of all documents; without a column ``path`` there are no directories, and licences are the documents' own."""
+    return scan(docs, F.col("path") if "path" in docs.columns else F.lit(None))

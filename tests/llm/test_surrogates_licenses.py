@@ -1,6 +1,8 @@
 """Surrogates and licence scans."""
 
+import math
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,26 +91,68 @@ def test_licenses_and_inheritance(spark):
     ], key=str)
 
 
+def plain_scan(texts, threshold=0.5):
+    """The same by loops over words and dictionaries: (licence, score) of each text by its segments, bodies aside."""
+    split = lambda t: [(m.start(), m.end(), "".join(c.lower() if c.isascii() else c for c in m[0])) for m in licenses.TOKEN.finditer(t or "")]
+    grams = lambda t: (lambda w: Counter(w) + Counter(f"{a} {b}" for a, b in zip(w, w[1:], strict=False)))([x[2] for x in split(t)])
+    df = Counter(w for t in texts for w in {x[2] for x in split(t)})
+    rare = lambda w: 1 + math.log((1 + len(texts)) / (1 + df[w]))
+    idf = lambda t: max(map(rare, t.split(" ")))
+    known = {g for _, t in licenses.TEMPLATES for g in grams(t)}
+    vector = lambda t: {g: n * idf(g) for g, n in grams(t).items() if g in known}
+    cosine = lambda a, b: sum(x * b.get(g, 0) for g, x in a.items()) / (math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values())) or 1)
+    templates = [(n, t, vector(t)) for n, t in licenses.TEMPLATES]
+    words = {w for w in known if " " not in w}
+    for text in texts:
+        w, parts = split(text), []
+        for gap in (0, licenses.BETWEEN):
+            run = []
+            for k, x in enumerate([*w, (0, 0, None)]):
+                if x[2] in words and (not run or k - run[-1] <= gap + 1):
+                    run.append(k)
+                elif x[2] in words or x[2] is None or (run and k - run[-1] > gap):
+                    if run:
+                        a, b = w[run[0]][0], w[run[-1]][1]
+                        for cut in (r"\n", r"\n[^0-9A-Za-z\x80-\U0010ffff\n]*(?=\n)"):
+                            ends = [a, *(a + m.end() for m in re.finditer(cut, text[a:b])), b]
+                            parts += [text[p:q] for p, q in zip(ends, ends[1:], strict=False) if any(w[i][2] in licenses.ANCHORS and p <= w[i][0] < q for i in range(run[0], run[-1] + 1))]
+                    run = [k] if x[2] in words else []
+        scores = [(cosine(vector(p), v), -n, name) for p in parts for n, (name, t, v) in enumerate(templates) if ("SPDX" in t) == ("SPDX-License-Identifier" in p)]
+        best = max(scores, default=(0.0, 0, None))
+        yield best[2] if best[0] >= threshold else None, best[0]
+
+
 def test_licenses_against_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = {r.doc_id: r for r in licenses.op9_licenses(docs).collect()}
-    notice = {"MIT License": "MIT", "Apache License": "Apache-2.0", "GNU General Public": "GPL-3.0", "CC BY-NC": "CC-BY-NC-4.0"}
     rows = docs.collect()
     assert len(got) == len(rows)
-    own = {}
-    for r in rows:
-        own[r.doc_id] = next((v for k, v in notice.items() if k in r.text), None)
-        assert (got[r.doc_id].license if got[r.doc_id].origin == "own" else None) == own[r.doc_id]
-    homes = {}
-    for r in sorted(rows, key=lambda r: f"LICENSE-{r.doc_id}"):
-        if own[r.doc_id] and len(r.text.split()) <= 24:
-            homes.setdefault((r.source, r.lang), own[r.doc_id])
-    for r in rows:
-        if not own[r.doc_id]:
-            assert got[r.doc_id].license == homes.get((r.source, r.lang))
+    notice = {"MIT License": "MIT", "Apache License": "Apache-2.0", "GNU General Public": "GPL-3.0", "CC BY-NC": "CC-BY-NC-4.0"}
+    for r, (name, score) in zip(rows, plain_scan([r.text for r in rows]), strict=True):
+        assert got[r.doc_id].license == name == next((v for k, v in notice.items() if k in r.text), None)
+        assert abs(got[r.doc_id].score - score) < 1e-6 and got[r.doc_id].origin == ("own" if name else None) and got[r.doc_id].path is None
     assert licenses.op9_licenses(docs.limit(0)).collect() == []
 
 
+def test_spdx_tags_and_notices_of_any_length(spark):
+    cases = [
+        *((name, f"# SPDX-License-Identifier: {name}\ncode") for name in dict.fromkeys(n for n, _ in licenses.TEMPLATES)),
+        ("GPL-2.0", "// SPDX-License-Identifier: GPL-2.0-or-later\nint x;"), ("GPL-3.0", "/* spdx-license-identifier: GPL-3.0-only */"), ("Apache-2.0", "; SPDX-License-Identifier: (Apache-2.0 OR MIT)"),
+        (None, "# SPDX-License-Identifier: Zlib"), (None, "# SPDX-License-Identifier: LicenseRef-Own"),
+        ("MIT", "long words " * 3_000 + "Released under the MIT License. " + "more words " * 3_000), (None, "a driving license of the driver, licensed to drive"),
+    ]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r.license for r in licenses.op9_licenses(docs).collect()}
+    assert [got[i] for i in range(len(cases))] == [name for name, _ in cases]
+
+
+@pytest.mark.parametrize("most", [0, 1 << 20])
+def test_inheritance_both_ways(spark, most):
+    files = [("a/LICENSE", "MIT", 0.9, False), ("a/COPYING", "ISC", 0.8, False), ("a/b/x.c", None, 0.0, False), ("a/b/own.c", "GPL-2.0", 0.7, False), ("q/text.txt", "Apache-2.0", 0.9, True), ("q/r/s/y", None, 0.0, False), ("z", None, 0.0, False), (None, None, 0.0, False), (None, "MIT", 0.9, True)]
+    rows = licenses.inherit(spark.createDataFrame(files, "path string, license string, score double, whole boolean"), most).collect()
+    assert sorted((str(r.path), r.inherited) for r in rows if not r.license) == [("None", None), ("a/b/x.c", "MIT"), ("q/r/s/y", "Apache-2.0"), ("z", None)]
+
+
 def test_licence_bodies_and_wrapped_headers(spark):
     full = {}
     for name, text in licenses.TEXTS:
@@ -153,9 +197,9 @@ def test_surrogates_of_a_used_up_format(spark):
 
 def test_full_licence_texts_pass_their_licence_on(spark):
     full = {name: max((t for n, t in licenses.TEXTS if n == name), key=len) for name in ("MIT", "GPL-3.0")}
-    docs = [(1, full["MIT"], "en", "a"), (2, "plain words", "en", "a"), (3, full["GPL-3.0"], "en", "b"), (4, "plain words", "en", "b"), (5, full["MIT"] + " other words" * 400, "en", "c"), (6, "plain words", "en", "c")]
-    got = {r.doc_id: (r.license, r.origin) for r in licenses.op9_licenses(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")).collect()}
-    assert got == {1: ("MIT", "own"), 2: ("MIT", "inherited"), 3: ("GPL-3.0", "own"), 4: ("GPL-3.0", "inherited"), 5: ("MIT", "own"), 6: (None, None)}
+    docs = [(1, full["MIT"], "a/x.txt"), (2, "plain words", "a/b/c"), (3, full["GPL-3.0"], "b/t"), (4, "plain words", "b/u"), (5, full["MIT"] + " other words" * 400, "c/v"), (6, "plain words", "c/w"), (7, "plain words", None)]
+    got = {r.doc_id: (r.license, r.origin) for r in licenses.op9_licenses(spark.createDataFrame(docs, "doc_id long, text string, path string")).collect()}
+    assert got == {1: ("MIT", "own"), 2: ("MIT", "inherited"), 3: ("GPL-3.0", "own"), 4: ("GPL-3.0", "inherited"), 5: ("MIT", "own"), 6: (None, None), 7: (None, None)}
 
 
 def test_secrets_after_a_prefix_or_in_json(spark):
