@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from bookweave.llm.common import boxed, settle, unboxed, word_count
 
-WEIGHTS, COPIES, ROWS = (5, 2, 1), 3, 512
+WEIGHTS, COPIES, ROWS, ITEMS = (5, 2, 1), 3, 512, 1 << 16
 SEED = "mix-1:"
 
 
@@ -66,32 +66,30 @@ def finish(copy) -> Column:
     return F.when(F.col("target") > 0, (copy * F.col("source_size") + F.col("upto")).cast("double") / F.col("target"))
 
 
-def last_finish(queued: DataFrame, budget: int, cells: int = 4096) -> float:
-    """The greatest finish time up to which all items together keep to the budget.
+def sorted_items(queued: DataFrame) -> DataFrame:
+    """at and size of all copies that can be taken, range-sorted by finish time over tasks of about ``ITEMS`` rows, with the task (_part); settled."""
+    items = queued.where("size > 0 and target > 0").select("size", F.explode(F.array(*(finish(F.lit(i)) for i in range(COPIES)))).alias("at"))
+    tasks = min(20_000, 1 + items.count() // ITEMS)
+    return settle(items.repartitionByRange(tasks, "at").sortWithinPartitions("at").withColumn("_part", F.spark_partition_id()))
+
 
-    Counts tokens in ranges of finish time, then in parts of the range where the budget ends, until few items are left there.
+def last_finish(ordered: DataFrame, budget: int) -> float:
+    """The greatest finish time up to which all sorted items together keep to the budget.
+
+    Whole tasks are added up in order; only the one in which the budget ends is looked into.
     """
-    items = queued.where("size > 0 and target > 0").select("size", F.explode(F.array(*(finish(F.lit(i)) for i in range(COPIES)))).alias("at"))
-    low, high, spent, reached = 0.0, 2.0, 0, 0.0
-    for _ in range(8):
-        width = (high - low) / cells
-        part = items.where((F.col("at") > low) & (F.col("at") <= high)).withColumn("cell", F.least(F.floor((F.col("at") - low) / width), F.lit(cells - 1)))
-        sums = part.groupBy("cell").agg(F.sum("size").alias("n"), F.count("*").alias("items"), F.min("at").alias("first"), F.max("at").alias("last"))
-        upto = Window.orderBy("cell")  # one row for each cell
-        sums = sums.withColumn("upto", F.sum("n").over(upto.rowsBetween(Window.unboundedPreceding, 0)) + F.lit(spent))
-        kept = sums.where(F.col("upto") <= budget).agg(F.max("last").alias("last"), F.max("upto").alias("upto")).first()
-        if kept.last is not None:
-            reached, spent = kept.last, kept.upto
-        over = sums.where(F.col("upto") > budget).orderBy("cell").first()
-        if over is None or over.first == over.last:
-            return reached
-        low, high = max(low, reached), over.last
-    return reached
+    upto = lambda *by: F.sum("n").over(Window.orderBy(*by).rowsBetween(Window.unboundedPreceding, 0))
+    sums = ordered.groupBy("_part").agg(F.sum("size").alias("n"), F.max("at").alias("last")).withColumn("upto", upto("_part"))  # a row for each task
+    fits = F.col("upto") <= budget
+    kept = sums.agg(F.max(F.when(fits, F.col("last"))).alias("last"), F.max(F.when(fits, F.col("upto"))).alias("upto"), F.min(F.when(~fits, F.col("_part"))).alias("ends")).first()
+    inside = ordered.where(F.col("_part") == F.lit(kept.ends)).groupBy("at").agg(F.sum("size").alias("n")).withColumn("upto", upto("at") + F.lit(kept.upto or 0))  # of one task
+    reached = inside.where(F.col("upto") <= budget).agg(F.max("at")).first()[0]
+    return next((x for x in (reached, kept.last) if x is not None), 0.0)
 
 
 def take(queued: DataFrame, budget: int) -> DataFrame:
     """Adds copies, how often the mix takes the row, and taken, its words."""
-    end = last_finish(queued, budget)
+    end = last_finish(sorted_items(queued), budget)
     copies = sum(((F.coalesce(finish(F.lit(i)), F.lit(2.0**62)) <= end).cast("int") for i in range(COPIES)), F.lit(0))
     return queued.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
 
@@ -105,7 +103,7 @@ def op4_mixing(docs: DataFrame) -> DataFrame:
 
 def schedule(queued: DataFrame, budget: int) -> DataFrame:
     """The mix in order: a row for each copy taken, range-sorted by finish time."""
-    end = last_finish(queued, budget)
+    end = last_finish(sorted_items(queued), budget)
     items = queued.select("doc_id", "source", "size", F.posexplode(F.array(*(finish(F.lit(i)) for i in range(COPIES)))).alias("copy", "finish"))
     return items.where(F.col("finish") <= end).orderBy("finish", F.asc_nulls_last("source"), F.asc_nulls_last("doc_id"), "copy")
 

@@ -102,6 +102,26 @@ def test_mix_repeats_documents_as_taken(spark):
     assert order == sorted(order)
 
 
+@pytest.mark.parametrize("items", [5, 1 << 16])
+def test_the_cut_of_random_tables(spark, items, monkeypatch):
+    """Range-sorted in many tasks or one, the budget ends where one sorted list says."""
+    monkeypatch.setattr(mixing, "ITEMS", items)
+    rng = np.random.default_rng(items)
+    rows = [(int(i), str(rng.integers(3)), int(rng.integers(0, 9))) for i in range(120)]
+    queued = mixing.settle(mixing.queue(spark.createDataFrame(rows, "doc_id long, source string, size long")))
+    ordered = mixing.sorted_items(queued)
+    at = sorted((r["at"], r["size"]) for r in ordered.collect())
+    for budget in (0, 1, 7, 100, sum(n for _, n in at) // 3, sum(n for _, n in at), 10**6):
+        upto, want = 0, 0.0
+        for finish in sorted({a for a, _ in at}):
+            upto += sum(n for a, n in at if a == finish)
+            want = finish if upto <= budget else want
+        assert mixing.last_finish(ordered, budget) == want
+    order = mixing.schedule(queued, 100).collect()
+    assert [r.finish for r in order] == sorted(r.finish for r in order) and sum(r["size"] for r in order) <= 100
+    assert sorted((r.doc_id, r.copy) for r in order if r["size"]) == sorted((r.doc_id, k) for r in mixing.take(queued, 100).collect() for k in range(r.copies) if r["size"])
+
+
 @pytest.mark.parametrize("f", [mixing.op4_mixing, mixing.mix])
 def test_mixing_of_an_empty_table(spark, f):
     assert f(frame(spark, [])).collect() == []
