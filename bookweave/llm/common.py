@@ -34,10 +34,10 @@ def settle(df: DataFrame) -> DataFrame:
 CARRIED = 32 << 20
 
 
-def carried(df: DataFrame, most: int = CARRIED) -> DataFrame:
-    """df, for a join without a shuffle of the other side where its rows, measured as JSON text, are small enough together; else for one by exchange."""
+def carried(df: DataFrame, most: int | None = None) -> DataFrame:
+    """df, for a join without a shuffle of the other side where its rows, measured as JSON text, are small enough together (``CARRIED`` bytes); else for one by exchange."""
     size = df.agg(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns))))), F.lit(0))).first()[0]
-    return F.broadcast(df) if size <= most else df
+    return F.broadcast(df) if size <= (CARRIED if most is None else most) else df
 
 
 def boxed(docs: DataFrame, *more: Column | str) -> DataFrame:

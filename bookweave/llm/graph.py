@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bookweave.llm.common import settle
+from bookweave.session import release
 
 #: Edges up to which one task settles the whole graph (16 bytes each); rounds of joins would take longer.
 SMALL = 1 << 20
@@ -58,8 +59,10 @@ def components(edges: DataFrame, most_rounds: int = 60, small: int = SMALL) -> D
         stars = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b"))).distinct()
         new = settle(stars)
         after = new.agg(*sums).first()
+        release(least, large, low)
         if after == before:
             break
+        release(edges)
         edges, before = new, after
     else:
         raise RuntimeError(f"components did not settle in {most_rounds} rounds")

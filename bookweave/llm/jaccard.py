@@ -31,14 +31,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bookweave.llm import textkit
-from bookweave.llm.common import boxed, settle, unboxed
+from bookweave.llm.common import boxed, carried, settle, unboxed
 from bookweave.llm.graph import components
 
 BITS, FAN = 4096, 8
 #: Offers beyond those that a partner may lack.
 SLACK = 96
-#: Shingles that one task holds of a block (a class counts as LEAST at least, for its bitmap), and rows up to which a table of ids travels to all tasks (about 100 bytes each).
-TASK_SHINGLES, LEAST, CARRIED = 1 << 20, 256, 1 << 18
+#: Shingles that one task holds of a block (a class counts as LEAST at least, for its bitmap).
+TASK_SHINGLES, LEAST = 1 << 20, 256
 NO_ID = -(2**63)
 
 
@@ -111,11 +111,6 @@ def offers(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return found.select("id", "s.n", "s.c", "s.low")
 
 
-def _carry(df: DataFrame, rows: int) -> DataFrame:
-    """For a join without a shuffle of the other side, where df has few rows."""
-    return F.broadcast(df) if rows <= CARRIED else df
-
-
 def shared_offers(classes: DataFrame, percent: int) -> DataFrame:
     """classes: c, n, low. (c, t): the kept offers that other classes have offered too."""
 
@@ -264,7 +259,7 @@ def links(docs: DataFrame, members: DataFrame, jobs: DataFrame, words: int, perc
     """(a, b): edges that connect the classes of each job as all its links do. members: c, id (a document of the class), root (what is connected already). jobs: c, job, half."""
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.col("text").cast("string").alias("text"))
     wanted = settle(members.select("c", "id", "root").join(jobs, "c").groupBy("id", "c", "root").agg(F.collect_list(F.struct("job", "half")).alias("jobs")))
-    found = texts.join(_carry(wanted, wanted.count()), "id").select(F.explode("jobs").alias("j"), "c", "root", "text").select("j.job", "j.half", "c", "root", "text")
+    found = texts.join(carried(wanted), "id").select(F.explode("jobs").alias("j"), "c", "root", "text").select("j.job", "j.half", "c", "root", "text")
     found = found.repartition("job").sortWithinPartitions("job")
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -334,7 +329,7 @@ def _components(docs: DataFrame, words: int, percent: int, task: int) -> DataFra
     all_ = settle(offers(docs, words, percent))
     classes = settle(all_.where("n > 0").groupBy("c", "n").agg(F.min("id").alias("id"), F.count("*").alias("copies")))
     repeated = classes.where("copies > 1").select("c")
-    repeated = _carry(repeated, repeated.count())
+    repeated = carried(repeated)
     others = all_.where("n > 0").join(repeated, "c", "left_anti").select("c", "n", "low")
     copied = all_.where("n > 0").join(repeated, "c", "left_semi").groupBy("c", "n").agg(F.first("low").alias("low"))
     found = blocks(shared_offers(others.union(copied), percent))
@@ -363,15 +358,14 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) ->
     heads = some.groupBy("root").agg(F.min(F.struct("id", "c")).alias("h")).select("h.*")
     lost = settle(some.select("id", "c").distinct().join(heads, ["id", "c"], "left_anti"))
     several = settle(found.where(F.col("id") != NO_ID).groupBy("id").count().where("count > 1").select("id"))
-    n_lost, n_several = lost.count(), several.count()
+    lost, several = carried(lost), carried(several)
     rows = boxed(docs, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text")
     known = rows.where(F.col("id") != NO_ID)
-    stay = known.join(_carry(several, n_several), "id", "left_anti").join(_carry(lost, n_lost), "id", "left_anti").select("_row")
+    stay = known.join(several, "id", "left_anti").join(lost, "id", "left_anti").select("_row")
     # where an id does not tell the row, its class does
-    unsure = rows.where(F.col("id") == NO_ID).union(known.join(_carry(several, n_several), "id", "left_semi").select("_row", "id", "text"))
-    unsure = unsure.select("_row", "id", classed(F.col("text"), words).alias("c")).join(_carry(lost, n_lost), ["id", "c"], "left_anti")
-    twice = settle(some.groupBy("id", "c").count().where("count > 1").select("id", "c"))
-    n_twice = twice.count()
-    single = unsure.join(_carry(twice, n_twice), ["id", "c"], "left_anti").select("_row")
-    double = unsure.join(_carry(twice, n_twice), ["id", "c"], "left_semi").dropDuplicates(["id", "c"]).select("_row")
+    unsure = rows.where(F.col("id") == NO_ID).union(known.join(several, "id", "left_semi").select("_row", "id", "text"))
+    unsure = unsure.select("_row", "id", classed(F.col("text"), words).alias("c")).join(lost, ["id", "c"], "left_anti")
+    twice = carried(settle(some.groupBy("id", "c").count().where("count > 1").select("id", "c")))
+    single = unsure.join(twice, ["id", "c"], "left_anti").select("_row")
+    double = unsure.join(twice, ["id", "c"], "left_semi").dropDuplicates(["id", "c"]).select("_row")
     return unboxed(stay.union(single).union(double))

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bookweave.llm import textkit
-from bookweave.llm.common import CARRIED, carried, settle
+from bookweave.llm.common import carried, settle
 from bookweave.llm.decontamination import BREAK, tokens
 from bookweave.llm.license_texts import TEXTS
 
@@ -203,7 +203,7 @@ def measured(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_m", scanned(F.col("text").cast("string")))
 
 
-def inherit(files: DataFrame, most: int = CARRIED) -> DataFrame:
+def inherit(files: DataFrame, most: int | None = None) -> DataFrame:
     """files: path, license, score, whole (a licence text for the most part) and any others. Adds inherited and inherited_from, the nearest directory's licence."""
     folder = F.regexp_replace("path", "/?[^/]*$", "")
     files = files.withColumn("_dir", folder)

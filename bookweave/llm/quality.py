@@ -181,6 +181,6 @@ def op2_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier accepts, with their columns."""
-    model = fit(with_statistics(docs.select("doc_id", "text")), labels)
-    return unboxed(score(with_statistics(boxed(docs, "text")), model).where("predicted = 1"))
+    """The documents that the classifier accepts, with their columns; each text is measured once."""
+    rows = settle(with_statistics(boxed(docs, "doc_id", "text")).drop("text"))
+    return unboxed(score(rows, fit(rows.select("doc_id", "_stats"), labels)).where("predicted = 1"))

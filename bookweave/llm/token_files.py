@@ -15,6 +15,7 @@ gives no sequences. A text of any length passes through in pieces of its own bat
 from __future__ import annotations
 
 import itertools
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -77,17 +78,27 @@ def whole(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return flags
 
 
+def piecewise(tokenizer) -> bool:
+    """Whether pieces can be encoded apart: byte-level BPE over the usual words, nothing done to texts before, and special tokens that begin as ``whole`` knows."""
+    state = json.loads(tokenizer.to_str())
+    split = state.get("pre_tokenizer") or {}
+    plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space", True)
+    special = all(t["content"].startswith("<|") and not (t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"]) for t in state.get("added_tokens", []))
+    return plain and special and state["model"]["type"] == "BPE" and not state["model"].get("dropout") and not any(state.get(k) for k in ("normalizer", "truncation", "padding"))
+
+
 class PieceEncoder:
     """Ids of whole texts by a tokenizers file, each with end_id after it.
 
     The pre-tokenizer never joins text across pieces, so each distinct piece is encoded once and
-    its ids remembered under its 64-bit hash, at most ``limit`` of them.
+    its ids remembered under its 64-bit hash, at most ``limit`` of them. Tokenizers of which that is not so encode every text whole.
     """
 
     def __init__(self, path: str, end_id: int = 0, limit: int = 2_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end_id, self.limit = Tokenizer.from_file(path), end_id, limit
+        self.piecewise = piecewise(self.tokenizer)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.forget()
 
@@ -113,6 +124,10 @@ class PieceEncoder:
 
     def run(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all documents in order, number of ids of each)."""
+        if not self.piecewise:
+            texts = self._encode([data[a:b].tobytes().decode() for a, b in zip(offsets, offsets[1:], strict=False)])
+            counts = np.array([len(t) + 1 for t in texts], np.int64)
+            return np.fromiter(itertools.chain.from_iterable((*t, self.end_id) for t in texts), self.dtype, int(counts.sum())), counts
         start, end, first = pieces(data, offsets)
         keys = textkit.hashes(data, start, end, BYTE_CODE)
         odd = np.flatnonzero(whole(data, offsets))

@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from bookweave.llm import decontamination, graph, jaccard, sharding
+from bookweave.llm import common, decontamination, graph, jaccard, sharding
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, shard string, _hits string, id string, c string, n string"
 
@@ -337,3 +337,13 @@ def test_running_sums_over_many_tasks(spark):
         upto[g] += w
         want[i] = upto[g]
     assert {r.i: r.upto for r in got} == want
+
+
+def test_carried_tables_and_joined_ones_agree(spark, monkeypatch):
+    """What travels to all tasks changes no result of the Jaccard join and of the filter."""
+    texts = corpus(11, 90)
+    docs = frame(spark, [*enumerate(texts), (None, texts[5]), (7, "quite another text here")])
+    both = lambda: (sorted(map(str, jaccard.near_duplicates(docs, 5, 80, 9_000).collect())), sorted(map(str, jaccard.drop_near_duplicates(docs).collect())), sorted(map(str, sharding.op5_sharding(docs).collect())))
+    carried = both()
+    monkeypatch.setattr(common, "CARRIED", -1)
+    assert both() == carried

@@ -130,3 +130,80 @@ def test_language_functions_are_defined_once():
     names = [n.name for n in ast.parse(inspect.getsource(language)).body if isinstance(n, (ast.FunctionDef, ast.ClassDef))]
     assert len(names) == len(set(names))
     assert list(inspect.signature(language.predict).parameters) == ["docs", "model"]
+
+
+def test_other_tokenizers_encode_whole_texts(spark, tmp_path):
+    """A tokenizer that folds case and drops white space, and the usual one with a prefix blank: no piece is encoded apart."""
+    prefixed = tokenizers.Tokenizer.from_file(PATH)
+    prefixed.pre_tokenizer = tokenizers.pre_tokenizers.ByteLevel(add_prefix_space=True)
+    prefixed.save(str(tmp_path / "prefixed.json"))
+    assert token_files.piecewise(tokenizers.Tokenizer.from_file(PATH))
+    for path in (public.path("word_bpe_49k.json"), str(tmp_path / "prefixed.json")):
+        tok = tokenizers.Tokenizer.from_file(path)
+        assert not token_files.piecewise(tok)
+        coder = token_files.PieceEncoder(path)
+        ids, counts = coder.run(*textkit.text_bytes(pa.array(ODD)))
+        want = [[*tok.encode(t or "", add_special_tokens=False).ids, 0] for t in ODD]
+        assert ids.tolist() == [i for t in want for i in t] and counts.tolist() == [len(t) for t in want]
+
+
+def plain_statistics(text):
+    """The twenty statistics by loops over bytes and words."""
+    data = (text or "").encode()
+    groups = [b" \t", b"\n\r\v\f", bytes(range(97, 123)), bytes(range(65, 91)), b"0123456789", b".,;:", b"!?", b"'\"()-", b"|", b"#$%&*@^~<>=+_\\/`{}[]", bytes(range(0xC0, 0x100)), bytes(range(0x80, 0xC0))]
+    kind = lambda b: next((n for n, g in enumerate(groups, 1) if b in g), 0)
+    kinds = [sum(kind(b) == k for b in data) for k in range(13)]
+    words = [w for w in __import__("re").split(rb"[\x20\x09-\x0d]+", data) if w]
+    lines = [x for x in data.split(b"\n") if x]
+    low = [bytes(b + 32 if 65 <= b <= 90 else b for b in w) for w in words]
+    pairs = set(zip(low, low[1:], strict=False)) if len(low) > 1 else set(low)
+    n, sizes = max(len(words), 1), [len(w) for w in words]
+    mean = sum(sizes) / n
+    spread = max(sum(x * x for x in sizes) / n - mean**2, 0) ** 0.5
+    some, letters = max(len(data), 1), max(kinds[3] + kinds[4], 1)
+    share = lambda x, of: (x / of) ** 0.5
+    return [
+        *np.log1p([len(data), len(words), mean, spread]), share(kinds[4], letters), share(kinds[5], some), share(kinds[6], n + kinds[6]), share(kinds[7], n + kinds[7]), share(kinds[8], some),
+        share(kinds[9], n + kinds[9]), share(kinds[10], some), share(kinds[11], some), share(kinds[0], some), share(sum(kind(w[-1]) in (7, 9, 10) for w in words), n), share(sum(x <= 3 for x in sizes), n),
+        share(len(set(low)), n), share(max((low.count(w) for w in set(low)), default=0), n), share(len(pairs), n), share(len(set(lines)), max(len(lines), 1)), share(len(lines), n),
+    ]
+
+
+def test_statistics_against_plain_loops():
+    texts = [*ODD[:11], "Wow! One|two|three #4 {x} A.B. \x01\n\nline\nline\nLINE two two TWO", "é ü\xa0ß", *(t for t in ["a!b? c|", " x"])]
+    np.testing.assert_allclose(quality.statistics(pa.array(texts)), [plain_statistics(t) for t in texts], atol=1e-9)
+
+
+def plain_grams(text):
+    """Shares of hashed 2-grams and 3-grams, one place after the other."""
+    letters = [b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in (text or "").encode()]
+    out = np.zeros(language.WIDTH)
+    for n in (2, 3):
+        for i in range(len(letters) - n + 1):
+            g = letters[i : i + n]
+            if g[0] != g[1]:
+                out[(sum(x << 8 * (n - 1 - k) for k, x in enumerate(g)) * 2654435761 % 2**32) >> 20] += 1
+    return out / max(out.sum(), 1)
+
+
+def test_language_against_plain_loops():
+    texts = [t for t in ODD if t and len(t) < 1_000] + ["Der schnelle Fuchs", "le renard rapide", "the quick fox"] * 3
+    shares = np.concatenate([s for _, _, s in language.grams(pa.array(texts))])
+    np.testing.assert_allclose(shares, [plain_grams(t) for t in texts], atol=1e-12)
+    y = np.array([i % 3 for i in range(len(texts))])
+    model = language.train(shares[-9:].astype(np.float32).copy(), y[-9:], ["de", "en", "fr"])
+    best, score, close = model.predict(pa.array(texts))
+    for i, s in enumerate(shares):
+        loss = [sum(t * np.log1p(np.exp(-np.clip((s @ model.weights[:, b] + model.bias[b]) * model.code[k, b], -30, None))) for b, t in enumerate(model.trust)) for k in range(3)]
+        order = np.sort(loss)
+        assert best[i] == int(np.argmin(loss)) and abs(score[i] - 1 / sum(np.exp(order[0] - x) for x in loss)) < 1e-6
+        assert close[i] == (order[1] - order[0] < 0.1 * model.trust.sum())
+    assert best[-9:].tolist() == y[-9:].tolist()
+
+
+def test_language_fit_measures_its_sample_in_parallel(spark):
+    """The sampled texts are measured where they lie; one task sorts only what was measured."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language.fit(docs, sample=200)
+    again = language.fit(docs.repartition(5), sample=200)
+    assert model.langs == again.langs and np.allclose(model.weights, again.weights)
