@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bookweave.llm import decontamination, jaccard, mixing, quality, sharding
 from bookweave.llm.common import settle, table
+from bookweave.session import clean, parts
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -55,9 +56,10 @@ ORACLE_SQL: str | None = None  # the classifier has no SQL form; tests/llm hold
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), parts(spark)
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
             docs = settle(docs)
+            clean(spark, before, keep=docs)  # what the stage and those before it left
     return docs
