@@ -117,15 +117,18 @@ def _bodies(word: np.ndarray, doc: np.ndarray) -> tuple[list[tuple[int, int]], n
     return out, covered
 
 
-def _stretches(word: np.ndarray, doc: np.ndarray, notices: np.ndarray, anchors: np.ndarray) -> list[tuple[int, int]]:
-    """(first word, last word) of the runs of notice words that hold an anchor: without other words between, and with a few."""
+def _stretches(word: np.ndarray, doc: np.ndarray, notices: np.ndarray, anchor: np.ndarray) -> list[tuple[int, int]]:
+    """(first word, last word) of the runs of notice words that hold an anchor (a flag of each word): without other words between, and with a few."""
     known = np.flatnonzero(np.isin(word, notices))
+    upto = np.r_[0, np.cumsum(anchor)]
+    if not upto[-1]:
+        return []
     out = set()
     for gap in (0, BETWEEN):
-        new = np.flatnonzero(np.r_[True, (np.diff(known) > gap + 1) | (np.diff(doc[known]) != 0)]) if len(known) else known
-        for a, b in zip(known[new], known[np.r_[new[1:] - 1, len(known) - 1]] if len(known) else [], strict=True):
-            if np.isin(word[a : b + 1], anchors).any():
-                out.add((int(a), int(b)))
+        new = np.flatnonzero(np.r_[True, (np.diff(known) > gap + 1) | (np.diff(doc[known]) != 0)])
+        first, last = known[new], known[np.r_[new[1:] - 1, len(known) - 1]]
+        some = upto[last + 1] > upto[first]
+        out.update(zip(first[some].tolist(), last[some].tolist(), strict=True))
     return sorted(out)
 
 
@@ -151,9 +154,10 @@ def segments(column: pa.Array) -> tuple[list[list[str]], list[list[str]], list[f
             whole[doc[a]].append(data[starts[a] : ends[b]].tobytes().decode("utf-8", "replace"))
         total = np.r_[0, np.cumsum(covered)]
         share += ((total[first[1:]] - total[first[:-1]]) / np.maximum(np.diff(first), 1)).tolist()
-        for i, j in _stretches(word, doc, notices, anchors):
+        flag = np.isin(word, anchors)
+        for i, j in _stretches(word, doc, notices, flag):
             d, at, raw = int(doc[i]), int(starts[i]), data[starts[i] : ends[j]].tobytes()
-            anchor = [int(x) - at for x in starts[i : j + 1][np.isin(word[i : j + 1], anchors)]]
+            anchor = (starts[i : j + 1][flag[i : j + 1]] - at).tolist()
             for breaks in (LINE, BLANK):
                 cuts = [0, *(m.end() for m in breaks.finditer(raw)), len(raw)]
                 for x, y in zip(cuts, cuts[1:], strict=False):
