@@ -35,9 +35,14 @@ CARRIED = 32 << 20
 
 
 def carried(df: DataFrame, most: int | None = None) -> DataFrame:
-    """df, for a join without a shuffle of the other side where its rows, measured as JSON text, are small enough together (``CARRIED`` bytes); else for one by exchange."""
+    """df, for a join without a shuffle of the other side where its rows are small enough together; else for one by exchange."""
+    return F.broadcast(df) if travels(df, most) else df
+
+
+def travels(df: DataFrame, most: int | None = None) -> bool:
+    """Whether all rows of df, measured as JSON text, have at most ``most`` bytes (``CARRIED`` if None)."""
     size = df.agg(F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns))))), F.lit(0))).first()[0]
-    return F.broadcast(df) if size <= (CARRIED if most is None else most) else df
+    return size <= (CARRIED if most is None else most)
 
 
 def boxed(docs: DataFrame, *more: Column | str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bookweave.llm import textkit
-from bookweave.llm.common import boxed, held_out, settle, unboxed
+from bookweave.llm.common import boxed, held_out, settle, travels, unboxed
 
 THRESHOLD = 0.7
 KINDS = 13
@@ -181,6 +181,14 @@ def op2_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier accepts, with their columns; each text is measured once."""
-    rows = settle(with_statistics(boxed(docs, "doc_id", "text")).drop("text"))
-    return unboxed(score(rows, fit(rows.select("doc_id", "_stats"), labels)).where("predicted = 1"))
+    """The documents that the classifier accepts, with their columns.
+
+    Labelled texts are measured for the fit, then all for their scores: keeping the measures beside the texts would
+    write every text once more. Where the labels are too many to travel, unlabelled texts are measured twice too.
+    """
+    ids = labels.where("quality in (0, 1)").select(F.col("doc_id").alias("_id")).distinct()
+    some = docs.select("doc_id", "text")
+    if travels(ids):
+        some = some.join(F.broadcast(ids), F.col("doc_id") == F.col("_id"), "left_semi")
+    model = fit(with_statistics(some), labels)
+    return unboxed(score(with_statistics(boxed(docs, "text")), model).where("predicted = 1"))

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from bookweave.llm import language, quality, textkit, token_files
+from bookweave.llm import common, language, quality, textkit, token_files
 
 tokenizers = pytest.importorskip("tokenizers")
 public = pytest.importorskip("public_tokenizers")
@@ -80,13 +80,17 @@ def test_shingles(texts, k):
     assert len(set(names.values())) == len(names)
 
 
-def test_quality_on_held_out_rows(spark):
+def test_quality_on_held_out_rows(spark, monkeypatch):
     sf = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
     rows = quality.op2_quality(docs, labels).join(labels, "doc_id").where("held_out").collect()
     assert np.mean([r.predicted == r.quality for r in rows]) > 0.95
     kept = quality.keep_good(docs, labels)
     assert kept.columns == docs.columns and 0.7 < kept.count() / docs.count() < 0.95
+    good = {r.doc_id for r in quality.op2_quality(docs, labels).where("predicted = 1").collect()}
+    assert {r.doc_id for r in kept.collect()} == good
+    monkeypatch.setattr(common, "CARRIED", -1)
+    assert {r.doc_id for r in quality.keep_good(docs, labels).collect()} == good
 
 
 def test_quality_of_odd_rows(spark):
