@@ -369,3 +369,21 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) ->
     single = unsure.join(twice, ["id", "c"], "left_anti").select("_row")
     double = unsure.join(twice, ["id", "c"], "left_semi").dropDuplicates(["id", "c"]).select("_row")
     return unboxed(stay.union(single).union(double))
+
+
+#: The same by an inverted index of all shingles and reachability, for tables with doc_ids.
+ORACLE = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))) END AS sh FROM d),
+k AS (SELECT doc_id, len(sh) AS n, sh, md5(array_to_string(sh, chr(31))) AS c FROM s),
+g AS (SELECT c, min(doc_id) AS least, any_value(sh) AS sh FROM k WHERE n > 0 GROUP BY c),
+x AS (SELECT c, len(sh) AS n, unnest(sh) AS t FROM g),
+p AS (SELECT a.c AS a, b.c AS b FROM x a JOIN x b ON a.t = b.t AND a.c < b.c GROUP BY a.c, b.c, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r(c, o) AS (SELECT c, c FROM g UNION SELECT r.c, e.b FROM r JOIN e ON r.o = e.a),
+h AS (SELECT r.c, min(g.least) AS least FROM r JOIN g ON r.o = g.c GROUP BY r.c)
+SELECT doc_id, n AS n_shingles, coalesce(least, doc_id) AS component_id FROM k LEFT JOIN h ON k.c = h.c AND n > 0
+"""

@@ -57,4 +57,4 @@ def op10_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = N
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_surrogates, op2_quality, op3_fingerprints, op4_mixing, op5_sharding, op6_decontamination, op7_language, op8_jaccard, op9_licenses, op10_token_files)}
-ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE, "op5_sharding": sharding.ORACLE}
+ORACLES: dict[str, str] = {"op4_mixing": mixing.ORACLE, "op5_sharding": sharding.ORACLE, "op8_jaccard": jaccard.ORACLE}
