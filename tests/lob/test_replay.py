@@ -159,6 +159,20 @@ def test_strict_lines(spark):
     assert [r.ok for r in rows] == [ok for _, ok in LINES] and rows[0].bids == [["1", "2", "x"]] and rows[1].asks == []
 
 
+def test_plain_lines_are_read_as_the_parser_reads_them(spark):
+    levels = ["[]", '[["1","2"]]', '[["1","2","0","3"],[]]', '[["","\u00e9"]]', '[["1" ,"2"]]', '[["1",2]]', "[[]", '[["a\\"b","2"]]', '["1"]', "null"]
+    heads = ["", '"instId":"A-B",', '"instId":"A","instId":"B",', '"other":1,', '"action":"x",']
+    tails = ["", " ", "x", ',"ts":"2"']
+    lines = [f'{{{h}"action":"update","ts":"7","{a}":{x},"{b}":{y}}}{t}' for h in heads for a, b in (("bids", "asks"), ("asks", "bids"), ("bids", "bids")) for x in levels for y in levels[:4] for t in tails]
+    lines += [f'{{"ts":"7","action":"a","bids":{x}}}' for x in levels] + ['{"action":"update","ts":"7","asks":[],"bids":[]}\n', '{"action":"\t","ts":"7","asks":[],"bids":[]}']
+    many = ",".join(f'["{i}","1"]' for i in range(50_000))
+    lines.append(f'{{"action":"snapshot","ts":"1","bids":[{many}],"asks":[]}}')
+    rows = parsed(spark.createDataFrame(list(enumerate(lines)), "seq long, line string")).orderBy("seq").collect()
+    none = dict.fromkeys(("action", "ts", "bids", "asks"))
+    want = [(i, r is not None, *({**none, **(r or {})}).values()) for i, r in enumerate(map(parse, lines))]
+    assert list(map(tuple, rows)) == want and sum(r.ok for r in rows) > 50
+
+
 def test_bad_line_share(spark):
     def day(symbol, total, bad, snapshot=True):
         return [(symbol, DAY, i, i >= bad, "snapshot" if snapshot and i == total - 1 else "update") for i in range(total)]
