@@ -4,11 +4,14 @@ Records have symbol, trade_date, seq (their order in the day), action, ts (text)
 (arrays of [price, quantity, ...] texts). A day's snapshots cut it into epochs; inside an epoch each
 price level lives from the record that sets it to the next record that touches it. A sample at grid
 time g shows the book after the first record at or past g. Books are ranked once for each record
-that passes a grid point and repeated over the grid points it passes.
+that passes a grid point and repeated over the grid points it passes. Where seq repeats within a day,
+order names the columns, seq first, that leave no ties; without it the result would follow the files' layout.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,20 +19,21 @@ from bookweave.functions.scalars import DEPTH, SAMPLE_MS, price, price_key, quan
 
 DAY = ["symbol", "trade_date"]
 SIDES = ("bid", "ask")
+ORDER = ("seq",)
 
 
-def epochs(records: DataFrame) -> DataFrame:
+def epochs(records: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
     """Records that act on the book, with epoch: how many snapshots the day has had, 0 before the first."""
-    so_far = Window.partitionBy(*DAY).orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    so_far = Window.partitionBy(*DAY).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     acting = records.where(F.col("action").isin("snapshot", "update"))
     return acting.withColumn("epoch", F.sum(F.when(F.col("action") == "snapshot", 1).otherwise(0)).over(so_far))
 
 
-def keep(records: DataFrame) -> DataFrame:
+def keep(records: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
     """Records from the first snapshot on, with ets (their time; one that can't be read is the last one, or 0) and pts (the time before)."""
-    day = Window.partitionBy(*DAY).orderBy("seq")
+    day = Window.partitionBy(*DAY).orderBy(*order)
     so_far = day.rowsBetween(Window.unboundedPreceding, 0)
-    found = epochs(records).where("epoch > 0")
+    found = epochs(records, order).where("epoch > 0")
     found = found.withColumn("ets", F.coalesce(F.last(timestamp_ms(F.col("ts")), ignorenulls=True).over(so_far), F.lit(0)))
     return found.withColumn("pts", F.lag("ets").over(day))
 
@@ -95,10 +99,10 @@ def spread(rows: DataFrame, sample_ms: int = SAMPLE_MS) -> DataFrame:
     return rows.select(*DAY, F.explode(times).alias("timestamp_ms"), *others)
 
 
-def regressions(kept: DataFrame) -> DataFrame:
+def regressions(kept: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
     """For each day, its first record that is older than the one before, if any; such a day fails."""
     older = F.col("ets") < F.col("pts")
-    first = F.min_by(F.struct("seq", "ets", "pts"), F.when(older, F.col("seq")))
+    first = F.min_by(F.struct("seq", "ets", "pts"), F.when(older, F.struct(*order)))
     found = kept.groupBy(*DAY).agg(F.count_if(older).alias("regressions"), first.alias("at"))
     failed = F.col("regressions") > 0
     return found.select(*DAY, failed.alias("failed"), *(F.when(failed, F.col(f"at.{c}")).alias(n) for c, n in (("seq", "bad_seq"), ("ets", "bad_ts"), ("pts", "current_ts"))))

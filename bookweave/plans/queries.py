@@ -47,7 +47,9 @@ def lob_ts_carry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lob_ts_regressions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replay.regressions(replay.keep(event_records(spark, sf_dir, shuffled=True)))
+    """The shuffled seq repeats from 100,003 events on; events of one seq follow their event_id."""
+    order = ("seq", "event_id")
+    return replay.regressions(replay.keep(event_records(spark, sf_dir, shuffled=True), order), order)
 
 
 # --- replay ---

@@ -13,13 +13,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def event_records(spark: SparkSession, sf_dir: str, first_snapshot: bool = True, shuffled: bool = False, bad_ts: bool = False) -> DataFrame:
-    """first_snapshot: a day's first record is a snapshot. shuffled: another order of records. bad_ts: every 17th time can't be read."""
+    """first_snapshot: a day's first record is a snapshot. shuffled: another order of records, by seq and event_id. bad_ts: every 17th time can't be read."""
     events = table(spark, sf_dir, "events")
     seq = F.expr("event_id * 7919 % 100003") if shuffled else F.col("event_id")
     rows = events.select(F.col("event_type").alias("symbol"), F.to_date("ts").alias("trade_date"), seq.alias("seq"), "event_id", epoch_ms(F.col("ts")).alias("ms"), "user_id", "value", F.get_json_object("props", "$.k").alias("k"))
     snapshot = F.col("event_id") % 40 == 0
     if first_snapshot:
-        snapshot = snapshot | (F.row_number().over(Window.partitionBy("symbol", "trade_date").orderBy("seq")) == 1)
+        snapshot = snapshot | (F.row_number().over(Window.partitionBy("symbol", "trade_date").orderBy("seq", *["event_id"] * shuffled)) == 1)
     level = F.array(F.array(F.col("value").cast("string"), "k"))
     none = F.array().cast("array<array<string>>")
     bid = F.col("user_id") % 2 == 0

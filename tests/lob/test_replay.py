@@ -2,13 +2,14 @@
 
 import json
 import random
-from datetime import date
+from datetime import date, datetime, timezone
 
 import pytest
 
 from bookweave.functions import scalars
 from bookweave.functions.strict_json import parse, parsed
 from bookweave.operators import day_checks, fused, replay
+from bookweave.plans import registry
 from bookweave.streaming.online import online_books
 from pyspark.sql import functions as F
 
@@ -131,6 +132,16 @@ def test_a_regression_fails_its_day_alone(spark):
     assert {r.symbol for r in replay.samples(rows, depth=1).collect()} == {"good"}
 
 
+@pytest.mark.parametrize("ids", [[1, 100_004, 200_007, 300_010, 2], [300_010, 200_007, 100_004, 2, 1], [200_007, 2, 1, 300_010, 100_004]])
+def test_events_of_one_seq_follow_their_id_in_any_layout(spark, tmp_path, ids):
+    seconds = {1: 10, 100_004: 20, 200_007: 15, 300_010: 12, 2: 30}  # all but the last have seq 7919
+    rows = [(i, datetime(2024, 1, 2, 0, 0, seconds[i]), 1, "view", 1.5, '{"k": 3}') for i in ids]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    got = [tuple(r) for r in registry.QUERIES["lob_ts_regressions"](spark, str(tmp_path)).collect()]
+    start = datetime(2024, 1, 2, tzinfo=timezone.utc).timestamp() * 1000
+    assert got == [("view", "2024-01-02", True, 7919.0, start + 15_000, start + 20_000)]
+
+
 def test_online_replay_gives_the_same_books(spark, tmp_path):
     rng = random.Random(5)
     log = sorted((r for r in random_log(rng) + random_log(rng)), key=lambda r: r[1] if isinstance(r[1], int) else 0)
